@@ -1,0 +1,30 @@
+"""Registered queries over the driver's tables, each with its SQL where SQL can express it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+@query("select doc_id, md5(n) as hash from (select doc_id, n, row_number() over (partition by md5(n) order by doc_id) as r from (select doc_id, trim(regexp_replace(lower(text), '[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g')) as n from documents)) where r = 1")
+def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    h = F.md5(F.trim(F.regexp_replace(F.lower("text"), r"(?U)\s+", " ")))
+    return docs.select("doc_id", h.alias("hash")).groupBy("hash").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "hash")
