@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomwork.llm import langid, minhash
+from loomwork.llm import langid, minhash, mixing, packing, pii
+from loomwork.llm.settings import MIX, PII_KEY
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,5 +20,17 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash, op8_language_id)}
-SQL: dict[str, str] = {}
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source"), **MIX, epoch="epoch").select("doc_id", "source", "epoch")
+
+
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, sf, "documents"), PII_KEY)
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op4_mixing, op5_minhash, op6_pii, op8_language_id)}
+SQL: dict[str, str] = {"op4_mixing": mixing.mix_sql(**MIX)}
