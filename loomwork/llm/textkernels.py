@@ -77,12 +77,20 @@ def spans(buffer: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def hash_prefix(buffer: np.ndarray) -> np.ndarray:
+    """Sums of a polynomial over the bytes before each place, modulo 2**64."""
+    prefix = np.zeros(len(buffer) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[buffer] * _pow(_P, len(buffer), "p"), out=prefix[1:])
+    return prefix
+
+
+def prefix_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of buffer[start:end]; equal bytes have equal hashes wherever they stand."""
+    return mix64((prefix[end] - prefix[start]) * _pow(_P_INV, len(prefix), "i")[start])
+
+
 def span_hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of buffer[start:end], from differences of one polynomial prefix sum."""
-    n = len(buffer)
-    prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[buffer] * _pow(_P, n, "p"), out=prefix[1:])
-    return mix64((prefix[end] - prefix[start]) * _pow(_P_INV, n + 1, "i")[start])
+    return prefix_hashes(hash_prefix(buffer), start, end)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
