@@ -104,10 +104,11 @@ def repetition_sql() -> str:
     return rf"""
 with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{space}'), lambda x: x <> '') as words from documents),
 t as (select doc_id, len(words) as n_words, list_sum(list_transform(words, lambda x: length(x))) as chars from w),
-g as (select doc_id, n, i, count(*) over (partition by doc_id, n, gram) as c from
-  (select doc_id, n, i, list_slice(words, i, i + n - 1) as gram from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i from w, (values (5), (6), (7), (8), (9), (10)) v(n)))),
-p as (select distinct doc_id, n, unnest(range(i, i + n)) as pos from g where c > 1),
-s as (select p.doc_id, n, sum(length(words[pos])) / max(chars) as share from p join w using (doc_id) join t using (doc_id) group by p.doc_id, n),
+u as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from w),
+g as (select doc_id, n, i, hash(list_slice(words, i, i + n - 1)) as gram from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i from w, (values (5), (6), (7), (8), (9), (10)) v(n))),
+r as (select doc_id, n, gram from g group by all having count(*) > 1),
+p as (select distinct doc_id, n, unnest(range(i, i + n)) as pos from g join r using (doc_id, n, gram)),
+s as (select p.doc_id, n, sum(length(word)) / max(chars) as share from p join u using (doc_id, pos) join t using (doc_id) group by p.doc_id, n),
 l as (select doc_id, line, count(*) over (partition by doc_id, line) as c from (select doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^{space}|{space}$', '', 'g') as line from documents) where line <> ''),
 m as (select doc_id, avg((c > 1)::int) as dl, sum(case when c > 1 then length(line) else 0 end) / sum(length(line)) as dlc from l group by doc_id),
 q as (select t.doc_id, n_words, coalesce(max(dl), 0) as dl, coalesce(max(dlc), 0) as dlc, {shares} from t left join m using (doc_id) left join s using (doc_id) group by t.doc_id, n_words)
