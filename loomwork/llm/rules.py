@@ -101,11 +101,15 @@ def repetition_sql() -> str:
     """DuckDB SQL for ``repetition`` over documents."""
     space = r"[\t\n\v\f\r \x1c-\x1f]+"
     shares = ", ".join(f"coalesce(max(case when n = {n} then share end), 0) as s{n}" for n in NGRAM_LIMITS)
+    top = max(NGRAM_LIMITS)
+    leads = ", ".join(f"lead(word, {i}) over x as l{i}" if i else "word as l0" for i in range(top))
+    grams = " union all ".join(f"select doc_id, {n} as n, pos as i, hash({', '.join(f'l{i}' for i in range(n))}) as gram from k where l{n - 1} is not null" for n in NGRAM_LIMITS)
     return rf"""
 with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{space}'), lambda x: x <> '') as words from documents),
 t as (select doc_id, len(words) as n_words, list_sum(list_transform(words, lambda x: length(x))) as chars from w),
 u as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from w),
-g as (select doc_id, n, i, hash(list_slice(words, i, i + n - 1)) as gram from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i from w, (values (5), (6), (7), (8), (9), (10)) v(n))),
+k as (select doc_id, pos, {leads} from u window x as (partition by doc_id order by pos)),
+g as ({grams}),
 r as (select doc_id, n, gram from g group by all having count(*) > 1),
 p as (select distinct doc_id, n, unnest(range(i, i + n)) as pos from g join r using (doc_id, n, gram)),
 s as (select p.doc_id, n, sum(length(word)) / max(chars) as share from p join u using (doc_id, pos) join t using (doc_id) group by p.doc_id, n),
