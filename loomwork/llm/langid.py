@@ -3,8 +3,8 @@
 A text becomes a TF-IDF vector of its letter n-grams (1 to 3 bytes of lower-cased UTF-8, everything that is no
 letter being one space), hashed to ``dims`` features, with logarithmic term frequency, normalised to length 1.
 Each language has several centroids, from spherical k-means over a bounded labelled sample. A text belongs to the
-language of the nearest centroid by cosine and is rejected where its distance lies more than ``z`` standard
-deviations beyond that of the sample's texts of like length (short texts lie farther from any centroid).
+language of the nearest centroid by cosine and is rejected where its distance is more than ``slack`` times that within which 99 % of the
+sample's texts of like length lie, measured against centroids that have not seen them (short texts lie farther from any centroid).
 
 Null texts and texts without letters are rejected. Rows with a null label are not trained on; labels of fewer than
 ``min_docs`` texts are not learned. Ties go to the first language in alphabetical order. Repeated rows are judged
@@ -74,7 +74,7 @@ class Model:
     owner: np.ndarray  # the language of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    floor: np.ndarray  # least cosine by language and length bucket
+    floor: np.ndarray  # least cosine by length bucket
 
     def judge(self, texts) -> pd.DataFrame:
         encoded = encode(texts, lower=True)
@@ -82,18 +82,47 @@ class Model:
         for a in range(0, len(encoded), 512):
             counts = gram_matrix(encoded[a : a + 512], self.dims)
             total = counts.sum(axis=1)
-            sims = _unit(np.log1p(counts) * self.idf) @ self.centroids.T if len(self.owner) else np.zeros((len(counts), 0))
+            sims = _unit(np.log1p(counts) * self.idf) @ self.centroids.T.astype(float) if len(self.owner) else np.zeros((len(counts), 0))
             best = sims.argmax(axis=1) if len(self.owner) else np.zeros(len(counts), dtype=int)
             top = sims[np.arange(len(sims)), best] if len(self.owner) else np.zeros(len(counts))
             who = self.owner[best] if len(self.owner) else np.zeros(len(counts), dtype=int)
             known = (total > 0) & (len(self.owner) > 0)
             lang += [self.languages[w] if k else None for w, k in zip(who, known)]
             cosine += np.where(known, top, np.nan).astype(float).tolist()
-            rejected += (~known | (top < (self.floor[who, _bucket(total)] if len(self.owner) else 2))).tolist()
+            rejected += (~known | (top < (self.floor[_bucket(total)] if len(self.owner) else 2))).tolist()
         return pd.DataFrame({"lang": pd.Series(lang, dtype=object), "cosine": pd.Series(cosine, dtype=float), "rejected": pd.Series(rejected, dtype=bool)})
 
 
-def train(langs: list[str], texts: list[str], dims: int, clusters: int, min_docs: int, z: float, seed: int) -> Model:
+def _centroids(v: np.ndarray, clusters: int, rng: np.random.Generator) -> np.ndarray:
+    """Spherical k-means."""
+    k = min(clusters, len(v))
+    c = v[rng.choice(len(v), k, replace=False)]
+    for _ in range(12):
+        at = (v @ c.T).argmax(axis=1)
+        c = _unit(np.stack([v[at == i].mean(axis=0) if (at == i).any() else c[i] for i in range(k)]))
+    return c
+
+
+def _floors(cos: np.ndarray, sizes: np.ndarray, slack: float) -> np.ndarray:
+    """The least cosine by length bucket: one less ``slack`` times the distance that 99 % of the bucket's texts keep to. Buckets of fewer than
+    50 texts take the next longer bucket's less 15 %, as shorter texts lie farther; the longest take the next shorter one's."""
+    out = np.full(_BUCKETS, np.nan)
+    limit = lambda near: max(0.0, 1 - slack * (1 - np.quantile(near, 0.01)))
+    for b in range(_BUCKETS):
+        if (sizes == b).sum() >= 50:
+            out[b] = limit(cos[sizes == b])
+    if np.isnan(out).all() and len(cos):
+        out[int(np.median(sizes))] = limit(cos)
+    for b in range(1, _BUCKETS):
+        if np.isnan(out[b]):
+            out[b] = out[b - 1]
+    for b in reversed(range(_BUCKETS - 1)):
+        if np.isnan(out[b]):
+            out[b] = out[b + 1] * 0.85
+    return out
+
+
+def train(langs: list[str], texts: list[str], dims: int, clusters: int, min_docs: int, slack: float, seed: int) -> Model:
     order = np.argsort(np.array([f"{a}\0{b}" for a, b in zip(langs, texts)], dtype=object), kind="stable")  # whatever order the rows came in
     labels = np.array(langs, dtype=object)[order]
     counts = gram_matrix(encode([texts[i] for i in order], lower=True), dims)
@@ -105,29 +134,26 @@ def train(langs: list[str], texts: list[str], dims: int, clusters: int, min_docs
     v = _unit(np.log1p(counts) * idf)
     rng = np.random.default_rng(seed)
     owner, centroids = [], []
-    floor = np.zeros((len(names), _BUCKETS))
+    distances, lengths = [np.zeros(0)], [np.zeros(0, dtype=int)]
     for j, name in enumerate(names):
         own = v[labels == name]
         sizes = _bucket(counts[labels == name].sum(axis=1))
-        k = min(clusters, len(own))
-        c = own[rng.choice(len(own), k, replace=False)]
-        for _ in range(12):
-            at = (own @ c.T).argmax(axis=1)
-            c = _unit(np.stack([own[at == i].mean(axis=0) if (at == i).any() else c[i] for i in range(k)]))
-        cos = (own @ c.T).max(axis=1)
-        owner += [j] * k
+        # distances of texts that centroids have not seen: four folds, each against centroids of the other three
+        fold = np.arange(len(own)) % 4
+        cos = np.zeros(len(own))
+        for f in range(4):
+            seen = own[fold != f] if (fold != f).any() else own
+            cos[fold == f] = (own[fold == f] @ _centroids(seen, clusters, rng).T).max(axis=1) if (fold == f).any() else 0
+        c = _centroids(own, clusters, rng)
+        owner += [j] * len(c)
         centroids.append(c)
-        for b in range(_BUCKETS):
-            near = cos[np.abs(sizes - b) <= 1]
-            for width in range(2, _BUCKETS):
-                if len(near) >= 20:
-                    break
-                near = cos[np.abs(sizes - b) <= width]
-            floor[j, b] = max(0.0, min(near.mean() - z * near.std(), near.min()))
+        distances.append(cos)
+        lengths.append(sizes)
+    floor = _floors(np.concatenate(distances), np.concatenate(lengths), slack)
     return Model(dims, names, np.array(owner, dtype=int), np.concatenate(centroids) if centroids else np.zeros((0, dims), np.float32), idf, floor)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1000, dims: int = 2048, clusters: int = 4, min_docs: int = 5, z: float = 4.0, seed: int = 7) -> Model:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1000, dims: int = 2048, clusters: int = 4, min_docs: int = 5, slack: float = 1.4, seed: int = 7) -> Model:
     """Learn centroids from about ``per_language`` labelled texts of each language (all, where there are fewer),
     chosen by a hash of the text over the whole table. One task trains; only the model reaches the driver."""
     known = docs.select(F.col(lang).alias("l"), F.col(text).alias("t")).filter("l is not null and t is not null")
@@ -138,10 +164,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: i
     sample = known.filter(F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 24)) < share * (1 << 24)) if sizes else known
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"m": [pickle.dumps(train(list(rows.l), list(rows.t), dims, clusters, min_docs, z, seed))]})
+        return pd.DataFrame({"m": [pickle.dumps(train(list(rows.l), list(rows.t), dims, clusters, min_docs, slack, seed))]})
 
     got = sample.groupBy(F.lit(0).alias("g")).applyInPandas(lambda rows: build(rows), "m binary").collect()
-    return pickle.loads(got[0].m) if got else train([], [], dims, clusters, min_docs, z, seed)
+    return pickle.loads(got[0].m) if got else train([], [], dims, clusters, min_docs, slack, seed)
 
 
 def judged(docs: DataFrame, model: Model, text: str = "text", out: str = "__lw_lang") -> DataFrame:
