@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-QUERIES: dict = {}
+from loomwork.functions import codes, predicates as p, segment, text as t
+from loomwork.operators import dedup, graph, model_map, relational as rel, semantic, summary as s
+from loomwork.workspace import Workspace
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+#: Unicode white space for engines whose \s is ASCII only.
+WS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WORD = r"[\p{L}\p{N}_\p{M}]"
+NORM = f"trim(regexp_replace(lower(text), '{WS}+', ' ', 'g'))"
+STRIP = f"regexp_replace(%s, '^{WS}+|{WS}+$', '', 'g')"
+
 
 def query(sql: str | None = None):
     def add(f):
@@ -23,8 +35,444 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@query("select doc_id, md5(n) as hash from (select doc_id, n, row_number() over (partition by md5(n) order by doc_id) as r from (select doc_id, trim(regexp_replace(lower(text), '[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g')) as n from documents)) where r = 1")
-def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+# ---- exact duplicates ----
+
+
+@query(f"select min(doc_id) as doc_id, md5({NORM}) as hash from documents group by 2")
+def exact_dedup(spark, sf):
+    return dedup.exact_dedup(table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query(f"select *, n_unique / n_rows as ratio from (select count(*) as n_rows, count(distinct text) as n_texts, count(distinct md5({NORM})) as n_unique from documents)")
+def dedup_stats(spark, sf):
+    return dedup.dedup_stats(table(spark, sf, "documents"), "text")
+
+
+# ---- text ----
+
+LINES = f"select doc_id, pos, {STRIP % 'raw'} as line from (select doc_id, unnest(l) as raw, generate_subscripts(l, 1) as pos from (select doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') as l from documents))"
+BOILER = f"with l as ({LINES}), c as (select line, count(*) as n from l where length(line) between 10 and 160 group by line order by n desc, line limit 1000), b as (select line, n, n / (select count(*) from documents) as pct_docs from c where n / (select count(*) from documents) >= 0.03)"
+
+
+@query(BOILER + " select * from b")
+def boilerplate_lines(spark, sf):
+    return t.boilerplate_lines(table(spark, sf, "documents"), "text")
+
+
+@query(BOILER + rf", r as (select doc_id, string_agg(raw, chr(10) order by pos) as x from (select doc_id, unnest(l) as raw, generate_subscripts(l, 1) as pos from (select doc_id, string_split_regex(text, '\r\n|\r|\n') as l from documents)) where {STRIP % 'raw'} not in (select line from b) group by doc_id) select d.doc_id, regexp_replace({STRIP % "coalesce(x, '')"}, '\n{{3,}}', chr(10) || chr(10), 'g') as cleaned from documents d left join r using (doc_id)")
+def strip_boilerplate(spark, sf):
     docs = table(spark, sf, "documents")
-    h = F.md5(F.trim(F.regexp_replace(F.lower("text"), r"(?U)\s+", " ")))
-    return docs.select("doc_id", h.alias("hash")).groupBy("hash").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "hash")
+    lines = [r.line for r in t.boilerplate_lines(docs, "text").collect()]
+    return t.strip_lines(docs, "text", lines, "x").select("doc_id", t.newlines("x").alias("cleaned"))
+
+
+@query(rf"select doc_id, len(regexp_extract_all(translate(regexp_replace(text, '<[^>]+>', ' ', 'g'), '‐‑‒–—/- ', '        '), '[A-Za-z0-9]+(?:''[A-Za-z0-9]+)?')) as words, len(regexp_extract_all(text, '{WORD}+')) as simple_words from documents")
+def word_counts(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", t.word_count("text").cast("long").alias("words"), t.simple_word_count("text").cast("long").alias("simple_words"))
+
+
+@query(rf"select doc_id, abs(w - n_chars) as diff, round(abs(w - n_chars) * 100.0 / n_chars, 6) as pct from (select doc_id, n_chars, len(regexp_extract_all(text, '{WORD}+')) as w from documents) where n_chars <> 0")
+def word_count_error(spark, sf):
+    diff, pct = t.count_error(t.simple_word_count("text"), F.col("n_chars"))
+    return table(spark, sf, "documents").filter("n_chars <> 0").select("doc_id", diff.cast("long").alias("diff"), F.round(pct, 6).alias("pct"))
+
+
+@query(r"select page_id, regexp_matches(html, '(?i)<(?:p|div|br|h[1-6]|table|ul|ol)\b') as is_html from pages")
+def html_sniff(spark, sf):
+    return table(spark, sf, "pages").select("page_id", t.looks_like_html("html").alias("is_html"))
+
+
+@query()
+def html_to_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", t.html_to_text("html").alias("text"))
+
+
+@query()
+def clean_pages(spark, sf):
+    return t.cleaned(table(spark, sf, "pages"), "html", "cleaned").select("page_id", "cleaned")
+
+
+@query("select doc_id, substr(text, 1, 2000) as start from documents")
+def prefix_truncation(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", t.prefix("text").alias("start"))
+
+
+@query(f"with w as (select doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') as t from documents) select doc_id, len(t) as n_tokens, len(list_filter(t, lambda x: x = upper(x) and x <> lower(x))) as n_upper from w")
+def upper_tokens(spark, sf):
+    tok = t.tokens("text")
+    return table(spark, sf, "documents").select("doc_id", F.size(tok).cast("long").alias("n_tokens"), F.size(F.filter(tok, t.is_upper)).cast("long").alias("n_upper"))
+
+
+# ---- predicates ----
+
+
+@query("select doc_id from documents where contains(text, 'stupid') or contains(text, 'License') or contains(text, 'the erthly')")
+def keyword_filter(spark, sf):
+    return table(spark, sf, "documents").filter(p.has_keyword("text", ["stupid", "License", "the erthly"])).select("doc_id")
+
+
+@query("select doc_id from documents where regexp_matches(text, '(?i)moron|worthless')")
+def keyword_filter_folded(spark, sf):
+    return table(spark, sf, "documents").filter(p.has_keyword("text", ["moron", "worthless"], ignore_case=True)).select("doc_id")
+
+
+@query("select doc_id from documents where text like '%Licensed%the%' or text like '%the%Licensed%' or text like '%token%the%' or text like '%the%token%'")
+def proximity_filter(spark, sf):
+    return table(spark, sf, "documents").filter(p.has_near("text", ["Licensed", "token"], ["the"])).select("doc_id")
+
+
+@query("select count(*) as n from documents where contains(text, 'License') and lang in ('en', 'de') and not contains(text, 'GNU')")
+def explain_count(spark, sf):
+    c = p.all_of(p.has_keyword("text", ["License"]), p.is_in("lang", ["en", "de"]), ~p.has_keyword("text", ["GNU"]))
+    return rel.explain_count(table(spark, sf, "documents"), c, "doc_id")[0]
+
+
+@query("select doc_id, lang from documents where contains(text, 'License') order by doc_id limit 5")
+def explain_sample(spark, sf):
+    return rel.explain_count(table(spark, sf, "documents"), p.has_keyword("text", ["License"]), "doc_id")[1].select("doc_id", "lang")
+
+
+@query("select o_orderkey from orders where o_orderstatus in ('O', 'F') and o_orderpriority not in ('1-URGENT', '2-HIGH')")
+def set_membership(spark, sf):
+    return table(spark, sf, "orders").filter(p.is_in("o_orderstatus", ["O", "F"]) & ~p.is_in("o_orderpriority", ["1-URGENT", "2-HIGH"])).select("o_orderkey")
+
+
+@query("select doc_id from labels where quality = 1 and toxic = 1")
+def flag_filter(spark, sf):
+    return table(spark, sf, "labels").filter(p.flag("quality") & p.flag("toxic")).select("doc_id")
+
+
+@query("select doc_id, lower(cast(quality as varchar)) in ('true', '1') as good from labels")
+def tolerant_flags(spark, sf):
+    return table(spark, sf, "labels").select("doc_id", p.tolerant_flag("quality").alias("good"))
+
+
+@query("select l_orderkey, l_linenumber from lineitem where l_orderkey between 100 and 500 and year(l_shipdate) = 1995")
+def range_filter(spark, sf):
+    return table(spark, sf, "lineitem").filter(p.between("l_orderkey", 100, 500) & (F.year("l_shipdate") == 1995)).select("l_orderkey", "l_linenumber")
+
+
+_REGIONS = ",".join(f"'{x}'" for x in p.EUROPE)
+
+
+@query(f"with n as (select n_nationkey, ',' || lower(n_name) || case when n_nationkey % 3 = 0 then ',fra,' when n_nationkey % 3 = 1 then ',uk' else ',' end as region_codes from nation) select n_nationkey from n where list_has_any(string_split(trim(region_codes, ','), ','), [{_REGIONS}])")
+def region_filter(spark, sf):
+    k = F.col("n_nationkey") % 3
+    n = table(spark, sf, "nation").withColumn("region_codes", F.concat(F.lit(","), F.lower("n_name"), F.when(k == 0, ",fra,").when(k == 1, ",uk").otherwise(",")))
+    return n.filter(p.in_region("region_codes")).select("n_nationkey")
+
+
+# ---- code lists ----
+
+_PART = "select p_partkey, string_agg(l_suppkey::varchar, ',' order by l_orderkey, l_linenumber, l_suppkey::varchar) as codes from part join lineitem on l_partkey = p_partkey group by p_partkey"
+
+
+def _part_codes(spark, sf) -> DataFrame:
+    li = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("c")))).alias("x"))
+    return table(spark, sf, "part").select("p_partkey").join(li, "p_partkey").select("p_partkey", F.array_join("x.c", ",").alias("codes"))
+
+
+def _suppliers(spark, sf) -> DataFrame:
+    return table(spark, sf, "supplier").filter("s_suppkey % 5 <> 0").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"))
+
+
+_NAMES = "names as (select s_suppkey::varchar as code, s_name as name from supplier where s_suppkey % 5 <> 0)"
+
+
+@query("select l_orderkey, l_linenumber, array_to_string(list_sort(list_distinct(list_filter(string_split(',' || l_returnflag || ',' || l_linestatus || ',,' || l_returnflag, ','), lambda x: x <> ''))), ',') as codes from lineitem")
+def code_union(spark, sf):
+    li = table(spark, sf, "lineitem").withColumns({"a": F.concat(F.lit(","), "l_returnflag"), "b": F.concat("l_linestatus", F.lit(","))})
+    return li.select("l_orderkey", "l_linenumber", codes.code_union("a", "b", "l_returnflag").alias("codes"))
+
+
+@query(f"with c as ({_PART}), {_NAMES}, e as (select p_partkey, unnest(string_split(codes, ',')) as c, generate_subscripts(string_split(codes, ','), 1) as pos from c) select p_partkey, string_agg(coalesce(name, e.c), ',' order by pos) as names from e left join names on code = e.c group by p_partkey")
+def decode_codes_ordered(spark, sf):
+    return codes.decode_ordered(_part_codes(spark, sf), "codes", _suppliers(spark, sf), "names", "p_partkey").select("p_partkey", "names")
+
+
+@query(f"with c as ({_PART}), {_NAMES}, e as (select distinct p_partkey, lower(trim(unnest(string_split(codes, ',')))) as c from c) select p_partkey, string_agg(coalesce(name, e.c), ',' order by e.c) as names from e left join names on code = e.c where e.c <> '' group by p_partkey")
+def decode_codes_sorted(spark, sf):
+    return codes.decode_sorted(_part_codes(spark, sf), "codes", _suppliers(spark, sf), "names", "p_partkey").select("p_partkey", "names")
+
+
+@query("select o_orderkey, coalesce(c_name, o_custkey::varchar) as customer from orders left join (select * from customer where c_custkey % 7 <> 0) on c_custkey = o_custkey")
+def decode_scalar_fallback(spark, sf):
+    names = table(spark, sf, "customer").filter("c_custkey % 7 <> 0").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("code_"))
+    return codes.decode_scalar(orders, "code_", names, "customer").select("o_orderkey", "customer")
+
+
+@query("select term, arg_min(p_partkey, p_partkey) as code from (select unnest(['red', 'steel', 'a', 'Part', '1']) as term) join part on contains(p_name, term) group by term")
+def first_containing(spark, sf):
+    terms = spark.createDataFrame([(x,) for x in ("red", "steel", "a", "Part", "1")], "term string")
+    return codes.first_containing(terms, "term", table(spark, sf, "part"), "p_partkey", "p_name", "p_partkey")
+
+
+# ---- joins ----
+
+
+@query("select doc_id, lang from documents where doc_id in (select doc_id from labels where quality = 1)")
+def semi_join_filter(spark, sf):
+    return rel.in_both(table(spark, sf, "documents"), table(spark, sf, "labels").filter("quality = 1"), "doc_id").select("doc_id", "lang")
+
+
+@query("select d.doc_id, d.source, quality::double as quality, toxic::double as toxic from documents d left join labels l on d.doc_id = l.doc_id")
+def left_join_results(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic"))
+    return rel.left_results(table(spark, sf, "documents").select("doc_id", "source"), labels, "doc_id")
+
+
+@query("select d.doc_id, d.n_chars > 1000 as quality_x, quality as quality_y from documents d join labels l on d.doc_id = l.doc_id")
+def inner_join_truth(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", (F.col("n_chars") > 1000).alias("quality"))
+    return rel.inner_results(docs, table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+
+
+_RATIO = "case when {b} > 0 then ({a}) / ({b}) else 0.0::double end as {n}"
+
+
+@query("with c as (select count(*) filter (t and p) as tp, count(*) filter (not t and p) as fp, count(*) filter (t and not p) as fn, count(*) filter (not t and not p) as tn from (select quality = 1 as t, n_chars > 500 as p from documents join labels using (doc_id))) select *, " + ", ".join(_RATIO.format(a=a, b=b, n=n) for a, b, n in (("tp + tn", "tp + fp + fn + tn", "accuracy"), ("tp", "tp + fp", "precision"), ("tp", "tp + fn", "recall"), ("2 * tp", "2 * tp + fp + fn", "f1"))) + " from c")
+def classification_metrics(spark, sf):
+    both = table(spark, sf, "documents").select("doc_id", "n_chars").join(table(spark, sf, "labels"), "doc_id")
+    return s.classification_metrics(both, F.col("quality") == 1, F.col("n_chars") > 500)
+
+
+# ---- windows, aggregates, order ----
+
+
+@query("select event_id, user_id, event_type from (select *, row_number() over (partition by user_id order by ts desc nulls last, event_id) as r from events) where r = 1")
+def latest_per_key(spark, sf):
+    return s.latest_per_key(table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts"), "user_id", "ts", "event_id").select("event_id", "user_id", "event_type")
+
+
+@query("select doc_id, row_number() over (order by source, doc_id) - 1 as row_id from documents")
+def dense_ids(spark, sf):
+    return dedup.dense_ids(table(spark, sf, "documents").select("doc_id", "source"), ["source", "doc_id"]).select("doc_id", "row_id")
+
+
+@query("select doc_id, (row_number() over (order by doc_id) - 1) // 250 as batch from documents")
+def batches(spark, sf):
+    return rel.batches(dedup.dense_ids(table(spark, sf, "documents").select("doc_id"), ["doc_id"]), "row_id", 250).select("doc_id", "batch")
+
+
+@query("select o_custkey, o_orderpriority as priority from (select o_custkey, o_orderpriority, row_number() over (partition by o_custkey order by count(*) desc, o_orderpriority) as r from orders group by o_custkey, o_orderpriority) where r = 1")
+def mode_by_group(spark, sf):
+    return s.mode_by(table(spark, sf, "orders"), "o_custkey", "o_orderpriority", "priority")
+
+
+_CONCAT = "select {k}, case when length(x) > 60 then substr(x, 1, 60) || '...' else x end as {o} from (select {k}, case when len(l) > 4 then array_to_string(l[1:4], ' | ') || ' (+ ' || (len(l) - 4) || ' more)' else array_to_string(l, ' | ') end as x from (select {k}, list(v order by f, v) as l from (select {k}, {c} as v, min({p}) as f from {t} where {c} is not null group by all) group by {k}))"
+
+
+@query(_CONCAT.format(k="o_custkey", c="o_orderdate::date::varchar", p="o_orderkey", t="orders", o="dates"))
+def set_concat(spark, sf):
+    orders = table(spark, sf, "orders").withColumn("d", F.to_date("o_orderdate").cast("string"))
+    return s.set_concat(orders, "o_custkey", "d", "o_orderkey", "dates", 4, 60)
+
+
+_SUMMARY = f"""with m as (select source, lang from (select source, lang, row_number() over (partition by source order by count(*) desc, lang) as r from documents group by source, lang) where r = 1),
+c as ({_CONCAT.format(k="source", c="lang", p="doc_id", t="documents", o="langs")})
+select d.source, min(doc_id) as doc_id, round_even(avg(n_chars), 2) as n_chars, any_value(m.lang) as lang, any_value(langs) as langs from documents d join m using (source) join c using (source) group by d.source"""
+
+
+@query(_SUMMARY)
+def company_summary(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("langs", F.col("lang")).withColumn("pos", F.col("doc_id"))
+    return s.summarise(docs, "source", "pos", modes=["lang"], sets={"langs": (4, 60)}, mins=["doc_id"], means=["n_chars"])
+
+
+@query("select event_type, count(*) as n from events where event_type is not null group by event_type")
+def value_counts(spark, sf):
+    return s.value_counts(table(spark, sf, "events"), "event_type")
+
+
+@query("select event_id, year(ts)::int as year, month(ts)::int as month from events")
+def year_month(spark, sf):
+    return rel.date_parts(table(spark, sf, "events"), "ts").select("event_id", "year", "month")
+
+
+@query("select o_orderkey, make_timestamp(o_orderkey * 86400123 * 1000) as at from orders")
+def epoch_times(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") * 86400123).alias("at"))
+    return rel.epoch_columns(df, ["at"]).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+@query("select count(*) as n_docs, round(avg(n_chars), 6) as mean, round(stddev_pop(n_chars), 6) as std, max(n_chars) as max, " + ", ".join(f"round(quantile_cont(n_chars, {q / 100}), 6) as p{q}" for q in (25, 50, 75, 95, 99)) + " from documents")
+def length_stats(spark, sf):
+    got = s.length_stats(table(spark, sf, "documents"), "n_chars")
+    return got.select("n_docs", "max", *[F.round(c, 6).alias(c) for c in ("mean", "std", "p25", "p50", "p75", "p95", "p99")])
+
+
+@query("select source, count(n_chars) as n, round(avg(n_chars), 6) as mean, round(stddev_pop(n_chars), 6) as std, quantile_cont(n_chars, 0.5) as median, max(n_chars) as max from documents group by source")
+def stats_by_parameter(spark, sf):
+    got = s.stats_by_parameter(table(spark, sf, "documents"), "source", "n_chars")
+    return got.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query("select o_orderkey, o_totalprice, o_orderdate from orders order by o_totalprice desc, o_orderdate desc, o_orderkey limit 100")
+def ranked_export(spark, sf):
+    return s.ranked(table(spark, sf, "orders"), "o_totalprice", "o_orderdate", "o_orderkey").select("o_orderkey", "o_totalprice", "o_orderdate").limit(100)
+
+
+@query("select distinct lang from documents")
+def distinct_values(spark, sf):
+    return table(spark, sf, "documents").select("lang").distinct()
+
+
+@query("select count(*) filter (quality = 0) as failures from labels")
+def failure_count(spark, sf):
+    return s.failures(table(spark, sf, "labels").withColumn("bad", F.col("quality") == 0), "bad")
+
+
+@query("select doc_id, greatest(1, least(5, round((quality * 4 + 1) * 0.65::double + (toxic * 4 + 1) * 0.35::double)::int)) as score from labels")
+def interest_score(spark, sf):
+    return table(spark, sf, "labels").select("doc_id", s.interest_score(F.col("quality") * 4 + 1, F.col("toxic") * 4 + 1).alias("score"))
+
+
+@query()
+def seeded_sample(spark, sf):
+    return s.sample_n(table(spark, sf, "documents").select("doc_id", "lang"), 100, "doc_id")
+
+
+# ---- shingles, MinHash, SimHash, containment ----
+
+_WORDS = rf"(select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}_\p{{M}}]+'), lambda x: x <> '') as w from documents)"
+_SHINGLES = f"(select doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(list_slice(w, i, i + 7), ' '))) as s from {_WORDS})"
+_H = "('0x' || substr(md5({x}), {a}, 8))::bigint"
+
+
+def _shingle_sql() -> str:
+    return f"select distinct doc_id as id, {_H.format(x='s', a=1)} % {dedup.PRIME} as h from {_SHINGLES}"
+
+
+@query(f"select doc_id, count(*) as n, count(distinct s) as n_distinct, min(s) as least from {_SHINGLES} group by doc_id")
+def shingles(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.explode(t.shingles("text")).alias("s"))
+    return d.groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("s").alias("n_distinct"), F.min("s").alias("least"))
+
+
+@query(f"with w as (select doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') as t from documents), i as (select *, unnest(range(0, case when len(t) <= 350 then 1 else (len(t) - 350) // 300 + 1 end)) as k from w where len(t) > 0) select doc_id, k::int as window, len(list_slice(t, k * 300 + 1, k * 300 + 350)) as n, t[k * 300 + 1] as first from i")
+def token_windows(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.posexplode(t.windows(t.tokens("text"))).alias("window", "w"))
+    return d.select("doc_id", "window", F.size("w").cast("long").alias("n"), F.col("w")[0].alias("first"))
+
+
+def _minhash_sql() -> str:
+    mins = ", ".join(f"min(({a} * h + {b}) % {dedup.PRIME}) as m{i}" for i, (a, b) in enumerate(dedup.permutations(64)))
+    keys = ", ".join("concat_ws('-', " + ", ".join(f"m{j}" for j in range(i * 4, i * 4 + 4)) + ")" for i in range(16))
+    return f"""with h as ({_shingle_sql()}), m as (select id, {mins} from h group by id), k as (select id, unnest([{keys}]) as key, unnest(range(0, 16)) as band from m),
+p as (select distinct x.id as a, y.id as b from k x join k y on x.key = y.key and x.band = y.band and x.id < y.id),
+n as (select id, count(*) as n from h group by id), i as (select a, b, count(*) as i from p join h x on x.id = a join h y on y.id = b and x.h = y.h group by a, b)
+select a, b, round(i / (na.n + nb.n - i), 6) as jaccard from i join n na on na.id = a join n nb on nb.id = b where i / (na.n + nb.n - i) >= 0.5"""
+
+
+def _near(spark, sf) -> DataFrame:
+    return dedup.minhash_pairs(table(spark, sf, "documents"), "doc_id", "text", 64, 16, 4, threshold=0.5)
+
+
+@query(_minhash_sql())
+def minhash_pairs(spark, sf):
+    return _near(spark, sf).withColumn("jaccard", F.round("jaccard", 6))
+
+
+_CC = """, e as (select a, b from {p} union all select b, a from {p}), r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a), c as (select a as node, least(a, min(b)) as component from r group by a)"""
+
+
+@query("with recursive p as (" + _minhash_sql() + ")" + _CC.format(p="p") + " select node, component from c")
+def connected_components(spark, sf):
+    return graph.connected_components(Workspace(spark, "q").save(_near(spark, sf)), "a", "b")
+
+
+@query("with recursive p as (" + _minhash_sql() + ")" + _CC.format(p="p") + ", f as (select doc_id, length(text) as len, coalesce(component, doc_id) as component from documents left join c on node = doc_id) select component, arg_max(doc_id, len * 1000000000 - doc_id) as doc_id, count(*) as n from f group by component")
+def cluster_representatives(spark, sf):
+    labels = dedup.clusters(Workspace(spark, "q").save(_near(spark, sf)))
+    return dedup.representatives(table(spark, sf, "documents"), "doc_id", "text", labels)
+
+
+def _simhash_sql() -> str:
+    toks = r"list_filter(regexp_split_to_array(lower(text), '[\x00-/:-@\[-`{-©«-±´¶-¸»¿×÷]+'), lambda x: x <> '')"
+    votes = ", ".join(f"sum(({c} >> {i}) & 1) as {c}{i}" for c in "hl" for i in range(32))
+    part = lambda c: " + ".join(f"(case when {c}{i} * 2 > n then {1 << i} else 0 end)::bigint" for i in range(32))
+    return f"""t as (select doc_id, {toks} as t from documents), g as (select doc_id, unnest(case when len(t) >= 4 then list_transform(range(1, len(t) - 2), lambda i: array_to_string(list_slice(t, i, i + 3), ' ')) else t end) as g from t),
+v as (select doc_id as id, {_H.format(x='g', a=1)} as h, {_H.format(x='g', a=9)} as l from g), s as (select id, count(*) as n, {votes} from v group by id), f as (select id, {part('h')} as hi, {part('l')} as lo from s)"""
+
+
+@query("with " + _simhash_sql() + " select * from f")
+def simhash_fingerprints(spark, sf):
+    return dedup.simhash_table(table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query("with " + _simhash_sql() + " select a.id as a, b.id as b, bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) as distance from f a join f b on a.id < b.id where bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 7")
+def simhash_pairs(spark, sf):
+    fp = Workspace(spark, "q").save(dedup.simhash_table(table(spark, sf, "documents"), "doc_id", "text"))
+    return dedup.hamming_pairs(fp, 7)
+
+
+@query()
+def simhash_greedy(spark, sf):
+    return dedup.simhash_dedup(table(spark, sf, "documents"), "doc_id", "text", radius=7)
+
+
+@query("select item_id as needle_id, doc_id from benchmark b join documents d on contains(d.text, b.text)")
+def containment_pairs(spark, sf):
+    return dedup.containment_pairs(table(spark, sf, "benchmark"), "item_id", "text", table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query()
+def dedup_cascade(spark, sf):
+    return dedup.cascade(table(spark, sf, "documents"), "doc_id", "text", 64, 16, 4, threshold=0.5, radius=7)
+
+
+# ---- vectors ----
+
+_COS = "list_cosine_similarity(a.embedding::double[], b.embedding::double[])"
+
+
+@query(f"select id, neighbour, round(sim, 4) as similarity, r as rank from (select a.vec_id as id, b.vec_id as neighbour, {_COS} as sim, row_number() over (partition by a.vec_id order by round({_COS}, 9) desc, b.vec_id) as r from embeddings a join embeddings b on a.vec_id <> b.vec_id) where r <= 3")
+def cosine_topk(spark, sf):
+    return semantic.cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", 3).withColumn("similarity", F.round("similarity", 4))
+
+
+@query(f"with recursive p as (select a, b from (select a.vec_id as a, b.vec_id as b, {_COS} as sim, row_number() over (partition by a.vec_id order by round({_COS}, 9) desc, b.vec_id) as r from embeddings a join embeddings b on a.vec_id <> b.vec_id) where r = 1 and sim >= 0.4)" + _CC.format(p="p") + " select coalesce(component, vec_id) as component, min(vec_id) as vec_id, count(*) as n from embeddings left join c on node = vec_id group by 1")
+def semantic_dedup(spark, sf):
+    return semantic.semantic_dedup(table(spark, sf, "embeddings"), "vec_id", None, "embedding", 0.4)
+
+
+@query("select label, list(round(v / n, 6) order by i) as pooled from (select label, i, v, sqrt(sum(v * v) over (partition by label)) as n from (select label, i, avg(v) as v from (select label, unnest(embedding::double[]) as v, generate_subscripts(embedding, 1) as i from embeddings) group by label, i)) group by label")
+def mean_pooling(spark, sf):
+    e = table(spark, sf, "embeddings").withColumn("e", F.col("embedding").cast("array<double>"))
+    return semantic.mean_pool(e, "label", "e", "pooled").withColumn("pooled", F.transform("pooled", lambda x: F.round(x, 6)))
+
+
+# ---- segments and models ----
+
+
+@query()
+def text_tiles(spark, sf):
+    d = t.cleaned(table(spark, sf, "documents"), "text", "cleaned").select("doc_id", "cleaned")
+    return segment.tile_texts(d, "cleaned", "doc_id").drop("cleaned")
+
+
+@query()
+def rechunk(spark, sf):
+    return segment.rechunked(table(spark, sf, "documents"), "text", limit=128).select("doc_id", F.posexplode("chunks").alias("chunk", "text"))
+
+
+@query()
+def first_last_sentence(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", t.first_last_sentence("text").alias("s")).select("doc_id", "s.first", "s.last")
+
+
+def _stub():
+    async def client(row: dict) -> dict:
+        words = (row["message"] or "").split()
+        return {"is_about": len(words) > 20, "is_relevant": len(words) % 2 == 0, "stage": "Early" if len(words) < 50 else "Late", "reasoning": f"{len(words)} words"}
+
+    return client
+
+
+@query(f"select conv_id * 1000 + turn as id, n > 20 as is_about, n % 2 = 0 as is_relevant, case when n < 50 then 'Early' else 'Late' end as stage, n || ' words' as reasoning, 'ok' as status from (select *, len(list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '')) as n from conversations)")
+def llm_map_stub(spark, sf):
+    rows = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    limits = model_map.Limits(requests_per_minute=10**9, tokens_per_minute=10**12)
+    got = model_map.map_rows(rows, _stub, model_map.ASSESSMENT, "id", {"text": "message"}, limits=limits)
+    return got.select("id", "is_about", "is_relevant", "stage", "reasoning", "status")
