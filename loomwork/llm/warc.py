@@ -14,6 +14,7 @@ no origin) and with null blocks are incomplete each for itself. An empty table g
 from __future__ import annotations
 
 import gzip
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -114,7 +115,8 @@ def segments(record_id: str, uri: str | None, block: bytes, size: int) -> list[t
 
 
 def archived(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", segment_bytes: int = 1024, chunk_bytes: int = 512) -> DataFrame:
-    """Pages as segmented WARC records of chunked HTTP responses. Pages without html have no record."""
+    """Pages as segmented WARC records of chunked HTTP responses. Pages without html have no record;
+    equal rows are one record, which gives one page back where it is segmented."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +124,10 @@ def archived(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             for i, u, h in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 if h is not None:
                     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-                    rows += segments(f"urn:page:{'' if i is None else i}", u, head + chunked(h.encode("utf-8", "replace"), chunk_bytes), segment_bytes)
+                    body = h.encode("utf-8", "replace")
+                    # pages of one id (or none) that differ are records of their own
+                    digest = hashlib.blake2b(f"{u}\0".encode("utf-8", "replace") + body, digest_size=8).hexdigest()
+                    rows += segments(f"urn:page:{'' if i is None else i}:{digest}", u, head + chunked(body, chunk_bytes), segment_bytes)
             cols = list(zip(*rows)) if rows else [()] * len(_SCHEMA)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SCHEMA)], schema=_SCHEMA)
 
@@ -157,7 +162,7 @@ def reassembled(records: DataFrame) -> DataFrame:
 def pages_of(records: DataFrame) -> DataFrame:
     """Columns page_id, url, segments, status, html: ``archived`` undone."""
     got = reassembled(records)
-    return got.select(F.regexp_extract("record_id", r"^urn:page:(-?\d+)$", 1).cast("long").alias("page_id"), F.col("target_uri").alias("url"), "segments", "status", F.make_valid_utf8(F.col("body").cast("string")).alias("html"))
+    return got.select(F.regexp_extract("record_id", r"^urn:page:(-?\d+):", 1).try_cast("long").alias("page_id"), F.col("target_uri").alias("url"), "segments", "status", F.make_valid_utf8(F.col("body").cast("string")).alias("html"))
 
 
 _FIELD = {"record_id": "WARC-Record-ID", "warc_type": "WARC-Type", "target_uri": "WARC-Target-URI", "segment_number": "WARC-Segment-Number", "origin_id": "WARC-Segment-Origin-ID", "total_length": "WARC-Segment-Total-Length"}
