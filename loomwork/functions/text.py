@@ -176,7 +176,7 @@ def strip_lines(df: DataFrame, text: str, lines: list[str], out: str | None = No
     return df.withColumn(out or text, F.array_join(kept, "\n"))
 
 
-_SENTENCE_END = r"(?<=[.!?…])[\"'”’)\]]*\s+(?=[\"'“‘(\[]*[\p{Lu}\p{N}¿¡])"
+_SENTENCE_END = r"(?:(?<=[.!?…])|(?<=[.!?…][\"'”’)\]]))\s+(?=[\"'“‘(\[]*[\p{Lu}\p{N}¿¡])"
 _ABBREVIATION = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|vs|etc|e\.g|i\.e|No|Inc|Ltd|Co|Corp|approx|Fig|al)|\b\p{Lu})\.$"
 
 

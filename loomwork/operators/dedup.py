@@ -85,10 +85,12 @@ def minhash_pairs(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_b
     sig = minhash_signatures(df, doc_id, text, num_perm, n)
     verify = threshold is not None
     pairs = band_pairs(bands(sig, n_bands, rows), star=not verify)
+    found = jaccard_pairs(pairs, shingle_table(df, doc_id, text, n), threshold) if verify else pairs
     if short_text == "collapse":
         short = df.filter(F.size(shingles(text, n)) == 0).select(F.col(doc_id).alias("b"))
-        pairs = pairs.unionByName(short.crossJoin(F.broadcast(short.agg(F.min("b").alias("a")))).filter("a < b").select("a", "b"))
-    return jaccard_pairs(pairs, shingle_table(df, doc_id, text, n), threshold) if verify else pairs
+        linked = short.crossJoin(F.broadcast(short.agg(F.min("b").alias("a")))).filter("a < b").select("a", "b")
+        found = found.unionByName(linked.withColumn("jaccard", F.lit(1.0)) if verify else linked)
+    return found
 
 
 def clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

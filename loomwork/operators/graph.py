@@ -11,10 +11,11 @@ from loomwork.workspace import Workspace
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 64) -> DataFrame:
     """Columns ``node, component``: every node of an edge with the least node of its component.
 
-    Each round maps every node to the least node among itself and its neighbours and contracts the graph along
-    that map. A node stays only if some node chose it, so the graph at least halves, and the least node of a
-    component is never contracted away. Every round writes two small tables to the shared folder. Edges with a
-    null end are ignored; self loops make a component of one.
+    Each round lets every node choose the least among itself and its neighbours, follows the choices to their end by pointer
+    doubling, and contracts the graph to those ends. An end that is not alone was chosen by a neighbour, so the number of nodes at least
+    halves, and the least node of a component is never contracted away. Rounds, and doublings within one, are logarithmic, whatever the
+    order of the ids; each writes a small table to the shared folder. Edges with a null end are ignored; a self loop makes a
+    component of one.
     """
     ws = Workspace(edges.sparkSession, "cc")
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna()
@@ -22,6 +23,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     maps: list[DataFrame] = []
     for _ in range(max_rounds):
         m = ws.save(e.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        for _ in range(max_rounds):
+            n = m.select(F.col("a").alias("m"), F.col("m").alias("n"))
+            jumped = ws.save(m.join(n, "m").select("a", F.col("n").alias("m"), (F.col("n") < F.col("m")).alias("moved")))
+            moved = not jumped.filter("moved").isEmpty()
+            ws.drop(m)
+            m = jumped.select("a", "m")
+            if not moved:
+                break
         maps.append(m)
         ma = m.select("a", F.col("m").alias("x"))
         mb = m.select(F.col("a").alias("b"), F.col("m").alias("y"))

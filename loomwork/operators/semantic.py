@@ -17,9 +17,9 @@ from loomwork.workspace import Workspace
 
 def mean_pool(df: DataFrame, owner: str, vector: str, out: str = "embedding") -> DataFrame:
     """The mean of each owner's vectors, of length 1. Summed by dimension, so that partial sums combine before the shuffle."""
-    parts = df.select(owner, F.posexplode(vector).alias("i", "v")).groupBy(owner, "i").agg(F.avg("v").alias("m"))
-    lists = parts.groupBy(owner).agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("l"))
-    m = F.col("l.m")
+    parts = df.select(owner, F.posexplode(vector).alias("__i", "__v")).groupBy(owner, "__i").agg(F.avg("__v").alias("__m"))
+    lists = parts.groupBy(owner).agg(F.array_sort(F.collect_list(F.struct("__i", "__m"))).alias("__l"))
+    m = F.col("__l.__m")
     norm = F.sqrt(F.aggregate(m, F.lit(0.0), lambda a, x: a + x * x))
     return lists.select(owner, F.when(norm > 0, F.transform(m, lambda x: x / norm)).otherwise(m).alias(out))
 
@@ -28,7 +28,7 @@ def embed(df: DataFrame, doc_id: str, text: str, encoder: Callable[[], Callable[
     """doc_id, embedding: windows of tokens, encoded in batches across documents, pooled by document.
 
     ``encoder`` makes the encoder once a task: a model is injected, none is shipped."""
-    wins = df.select(doc_id, F.explode(windows(tokens(text), size, stride, keep_tail)).alias("w")).select(doc_id, F.array_join("w", " ").alias("w"))
+    wins = df.select(doc_id, F.explode(windows(tokens(text), size, stride, keep_tail)).alias("__w")).select(doc_id, F.array_join("__w", " ").alias("__w"))
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -39,7 +39,7 @@ def embed(df: DataFrame, doc_id: str, text: str, encoder: Callable[[], Callable[
                 got += [np.asarray(v, dtype=float) for v in encode(list(s[i : i + batch]))]
             yield pd.Series(got, dtype=object)
 
-    return mean_pool(wins.withColumn("v", run("w")), doc_id, "v")
+    return mean_pool(wins.withColumn("__e", run("__w")), doc_id, "__e")
 
 
 def hashed_encoder(dims: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray]]:

@@ -10,10 +10,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the Python workers this package, once per application, unless they find it by PYTHONPATH."""
+    """Make a session ready for this package.
+
+    Python workers get the package, once per application, unless they find it by PYTHONPATH. Arrow batches are of a thousand rows, as
+    ten thousand texts at once cost a worker some hundred MB; a cluster that sets a size of its own keeps it."""
+    if not spark.sparkContext.getConf().contains(_BATCH):
+        spark.conf.set(_BATCH, "1000")
     root = Path(__file__).resolve().parent
     app = spark.sparkContext.applicationId
     on_path = any(p and Path(p).resolve() == root.parent for p in os.environ.get("PYTHONPATH", "").split(os.pathsep))

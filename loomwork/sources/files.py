@@ -60,6 +60,10 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "
     """Partitioned zstd Parquet; only the partitions that ``df`` has are replaced, so a rerun is idempotent. Rows of one partition are
     brought together by AQE's rebalance, which also splits a hot one."""
     df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
+    # a dynamic overwrite leaves no mark of its own
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
 def write_parquet(df: DataFrame, path: str, single: bool = False) -> None:
