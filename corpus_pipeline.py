@@ -5,7 +5,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next reads i
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomwork.llm import langid, minhash, mixing, packing, pii
 from loomwork.llm.settings import MIX, PII_KEY
@@ -13,29 +17,40 @@ from loomwork.session import ship
 from loomwork.workspace import Workspace
 
 
+def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @functools.wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return f(ship(spark), docs, sf_dir)
+
+    return run
+
+
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those that are rejected go."""
     return langid.keep_identified(docs)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return minhash.drop_near_duplicates(docs)
 
 
+@_stage
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced; ``n_chars`` follows the text."""
-    from pyspark.sql import functions as F
-
     out = pii.replaced(docs, PII_KEY).drop("__lw_n")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 
+@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources have them."""
     return mixing.mix(docs, **MIX)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bins of documents, by id, start and length."""
     return packing.pack(docs)
