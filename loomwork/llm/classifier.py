@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.rules import _SALT, _per_text, duplicated
+from loomwork.llm.rules import _SALT, _per_text, repeated
 from loomwork.llm.textkernels import chunks, encode, gram_hashes, spans, span_hashes
 from loomwork.workspace import Workspace
 
@@ -58,7 +58,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
         grams = gram_hashes(h, 3)
         ok = of[:m] == of[2:] if m else np.zeros(0, dtype=bool)
         dup = np.zeros(len(h), dtype=bool)
-        dup[np.flatnonzero(ok)[duplicated(grams[ok] + salt[:m][ok])]] = True
+        dup[np.flatnonzero(ok)[repeated(grams[ok] + salt[:m][ok])]] = True
         counts = np.bincount(np.repeat(np.arange(b - a), np.diff(at)) * 256 + raw, minlength=(b - a) * 256).reshape(b - a, 256).astype(float)
         p = counts / counts.sum(axis=1, keepdims=True)
         lines = share["newline"]

@@ -1,10 +1,10 @@
 """Repetition rules: how much of a text lies inside repeated n-grams and lines.
 
 Words are runs of anything but ASCII white space. For each n the rolling hashes of all n-grams of words are sorted
-within the text; an n-gram that occurs twice or more is duplicated at all its places, and the measure is the share of
-the words' characters that lie inside duplicated n-grams, each counted once however many n-grams cover it. Lines are
-stripped; blank ones don't count. ``dup_lines`` is the share of lines with another copy in the text,
-``dup_line_chars`` that of their characters.
+within the text; an n-gram that occurred before in the text is a duplicate, and the measure is the share of the words'
+characters that lie inside duplicates, each counted once however many n-grams cover it. The first occurrence is no
+duplicate: a page whose header is its footer too has that line once too often, not twice. Lines are stripped; blank ones
+don't count. ``dup_lines`` is the share of lines that occurred before, ``dup_line_chars`` that of their characters.
 
 A document is kept if no measure is above its limit. Null texts and texts without words have measures of 0 and are not
 kept, as they have nothing to keep. A text of fewer than n words has no n-gram. Equal rows get equal results; an empty
@@ -26,14 +26,13 @@ LINE_LIMIT, LINE_CHAR_LIMIT = 0.30, 0.20
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def duplicated(keys: np.ndarray) -> np.ndarray:
-    """Which values occur more than once."""
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Which values occurred before."""
     order = np.argsort(keys, kind="stable")
     s = keys[order]
     same = s[1:] == s[:-1]
     out = np.zeros(len(keys), dtype=bool)
     out[order[1:][same]] = True
-    out[order[:-1][same]] = True
     return out
 
 
@@ -62,7 +61,7 @@ def coverage(texts: list[bytes], lengths: tuple[int, ...]) -> np.ndarray:
             line = np.searchsorted(np.flatnonzero(buffer == 10), start)
             first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
             last = np.concatenate((first[1:] - 1, [len(start) - 1]))
-            dup = duplicated(mix64(prefix_hashes(prefix, start[first], end[last])) + of[first])
+            dup = repeated(mix64(prefix_hashes(prefix, start[first], end[last])) + of[first])
             at = np.searchsorted(first, bounds)
             long = chars[end[last]] - chars[start[first]]
             out[a:b, 1] = _per_text(dup, at) / np.maximum(np.diff(at), 1)
@@ -72,7 +71,7 @@ def coverage(texts: list[bytes], lengths: tuple[int, ...]) -> np.ndarray:
             if m <= 0:
                 continue
             inside = np.flatnonzero(of[:m] == of[n - 1 :])
-            where = inside[duplicated(gram_hashes(h, n)[inside] + of[inside])]
+            where = inside[repeated(gram_hashes(h, n)[inside] + of[inside])]
             step = np.zeros(len(h) + 1, dtype=np.int64)
             np.add.at(step, where, 1)
             np.add.at(step, where + n, -1)
@@ -110,10 +109,10 @@ t as (select doc_id, len(words) as n_words, list_sum(list_transform(words, lambd
 u as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from w),
 k as (select doc_id, pos, {leads} from u window x as (partition by doc_id order by pos)),
 g as ({grams}),
-r as (select doc_id, n, gram from g group by all having count(*) > 1),
-p as (select distinct doc_id, n, unnest(range(i, i + n)) as pos from g join r using (doc_id, n, gram)),
+r as (select doc_id, n, gram, min(i) as first from g group by all having count(*) > 1),
+p as (select distinct doc_id, n, unnest(range(i, i + n)) as pos from g join r using (doc_id, n, gram) where i > first),
 s as (select p.doc_id, n, sum(length(word)) / max(chars) as share from p join u using (doc_id, pos) join t using (doc_id) group by p.doc_id, n),
-l as (select doc_id, line, count(*) over (partition by doc_id, line) as c from (select doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^{space}|{space}$', '', 'g') as line from documents) where line <> ''),
+l as (select doc_id, line, row_number() over (partition by doc_id, line) as c from (select doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^{space}|{space}$', '', 'g') as line from documents) where line <> ''),
 m as (select doc_id, avg((c > 1)::int) as dl, sum(case when c > 1 then length(line) else 0 end) / sum(length(line)) as dlc from l group by doc_id),
 q as (select t.doc_id, n_words, coalesce(max(dl), 0) as dl, coalesce(max(dlc), 0) as dlc, {shares} from t left join m using (doc_id) left join s using (doc_id) group by t.doc_id, n_words)
 select doc_id, n_words::bigint as n_words, round(dl, 6) as dup_lines, round(dlc, 6) as dup_line_chars, {", ".join(f"round(s{n}, 6) as dup_{n}" for n in NGRAM_LIMITS)},

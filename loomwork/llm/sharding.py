@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.operators.dedup import dense_ids
 from loomwork.workspace import Workspace
 
 DIMS = ("d0", "d1", "d2", "d3")
@@ -30,7 +31,7 @@ DIMS = ("d0", "d1", "d2", "d3")
 def _ranked(rows: DataFrame, column: str, out: str, ws: Workspace) -> DataFrame:
     """``rows`` with the rank of ``column`` among its distinct values: a small table, joined by value."""
     values = rows.select(F.col(column).alias("__v")).distinct().filter("__v is not null")
-    ranks = ws.save(values.withColumn(out, F.row_number().over(Window.orderBy("__v")).cast("double")))
+    ranks = ws.save(dense_ids(values, ["__v"], "__r").select("__v", (F.col("__r") + 1).cast("double").alias(out)))
     return rows.join(ranks, F.col(column) == F.col("__v"), "left").drop("__v").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
 
 

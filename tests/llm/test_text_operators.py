@@ -39,8 +39,11 @@ def empty(spark):
 
 def brute_repetition(text, n):
     words = [w for w in re.split(r"[\t\n\v\f\r \x1c-\x1f]+", text or "") if w]
-    grams = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
-    covered = {i + k for i in range(len(words) - n + 1) if grams[tuple(words[i : i + n])] > 1 for k in range(n)}
+    seen, covered = set(), set()
+    for i in range(len(words) - n + 1):
+        g = tuple(words[i : i + n])
+        covered |= set(range(i, i + n)) if g in seen else set()
+        seen.add(g)
     return sum(len(words[i]) for i in covered) / max(1, sum(map(len, words)))
 
 
@@ -51,7 +54,7 @@ def test_repetition_matches_brute_force(docs):
             assert got[r.doc_id][f"dup_{n}"] == pytest.approx(brute_repetition(r.text, n), abs=2e-6)
         lines = [x.strip() for x in r.text.split("\n") if x.strip()]
         c = Counter(lines)
-        assert got[r.doc_id].dup_lines == pytest.approx(sum(c[x] > 1 for x in lines) / len(lines), abs=2e-6)
+        assert got[r.doc_id].dup_lines == pytest.approx((len(lines) - len(c)) / len(lines), abs=2e-6)
 
 
 def test_repetition_of_odd_rows(spark, odd):
@@ -59,7 +62,7 @@ def test_repetition_of_odd_rows(spark, odd):
     assert len(got) == 9
     by = {r.doc_id: r for r in got}
     assert not by[1].keep and not by[2].keep and not by[3].keep and by[1].n_words == 0
-    assert by[5].dup_5 == 1.0 and not by[5].keep
+    assert by[5].dup_5 > 0.99 and not by[5].keep
     assert by[4].keep and by[4].dup_5 == 0
     assert rules.repetition(empty(spark)).count() == 0
 
