@@ -84,8 +84,9 @@ def tolerant_flag(column: str) -> Column:
 
 #: Lower-case codes of the countries, capitals and regions of the European market filter.
 EUROPE = tuple(
-    "aust belg czrep den estnia fin fra gfr italy latv ire icel lith lux malta neth norw pol lario swed switz uk vien brus prague "
-    "copen tallin helsnk paris berlin rome riga dublin reyk vilniu luxci valle amstr oslo wasw madrd stock bern derry eurz eeurz weurz".split()
+    "amstr aust belg berlin bern brus copen czrep den derry dublin eeurz estnia eurz fin fra gfr helsnk icel ire "
+    "italy lario latv lith lux luxci madrd malta neth norw oslo paris pol prague reyk riga rome stock swed switz "
+    "tallin uk valle vien vilniu wasw weurz".split()
 )
 
 

@@ -60,12 +60,19 @@ def hashed_encoder(dims: int = 64) -> Callable[[], Callable[[list[str]], np.ndar
     return make
 
 
-def cosine_topk(df: DataFrame, vec_id: str, vector: str, k: int = 1, threshold: float = -1.0, blocks: int = 8) -> DataFrame:
+def _blocked(df: DataFrame, vec_id: str, vector: str, blocks: int | None) -> tuple[DataFrame, int]:
+    """id, v, b (the block), and the number of blocks: by default so many that a block holds about 20,000 vectors."""
+    base = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null")
+    blocks = blocks or max(4, -(-df.count() // 20_000))
+    return base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), blocks
+
+
+def cosine_topk(df: DataFrame, vec_id: str, vector: str, k: int = 1, threshold: float = -1.0, blocks: int | None = None) -> DataFrame:
     """id, neighbour, similarity: the k nearest others of every row by exact cosine, ties to the least id.
 
     Rows fall into blocks by hash; each pair of blocks is one task's matrix product, and a row is sent to ``blocks`` of them, so the shuffle
     grows with blocks and a task's memory with 1 / blocks. Each task returns k candidates a row. Zero and null vectors are left out."""
-    base = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null").withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    base, blocks = _blocked(df, vec_id, vector, blocks)
     as_query = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.col("b").alias("x"), F.col("o").alias("y"), "id", "v", F.lit(True).alias("q"))
     as_other = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.col("o").alias("x"), F.col("b").alias("y"), "id", "v", F.lit(False).alias("q"))
 
@@ -95,9 +102,9 @@ def cosine_topk(df: DataFrame, vec_id: str, vector: str, k: int = 1, threshold:
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def cosine_pairs(df: DataFrame, vec_id: str, vector: str, threshold: float, blocks: int = 8) -> DataFrame:
+def cosine_pairs(df: DataFrame, vec_id: str, vector: str, threshold: float, blocks: int | None = None) -> DataFrame:
     """a < b, similarity: all pairs from ``threshold`` on, exactly, by blocks."""
-    base = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null").withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    base, blocks = _blocked(df, vec_id, vector, blocks)
     spread = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "id", "v", "b")
 
     def near(rows: pd.DataFrame) -> pd.DataFrame:
@@ -121,7 +128,7 @@ def cosine_pairs(df: DataFrame, vec_id: str, vector: str, threshold: float, bloc
     return spread.groupBy("x", "y").applyInPandas(near, "a long, b long, similarity double")
 
 
-def semantic_dedup(df: DataFrame, doc_id: str, text: str, vector: str, threshold: float = 0.95, mode: str = "top1", blocks: int = 8) -> DataFrame:
+def semantic_dedup(df: DataFrame, doc_id: str, text: str, vector: str, threshold: float = 0.95, mode: str = "top1", blocks: int | None = None) -> DataFrame:
     """component, doc_id, n: the longest text (or, without a text column, the least id) of each group of near vectors. ``top1`` links each row to its
     nearest other, ``all_pairs`` to all from the threshold on."""
     ws = Workspace(df.sparkSession, "semantic")
