@@ -158,10 +158,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: i
     chosen by a hash of the text over the whole table. One task trains; only the model reaches the driver."""
     known = docs.select(F.col(lang).alias("l"), F.col(text).alias("t")).filter("l is not null and t is not null")
     sizes = {r.l: r.n for r in known.groupBy("l").agg(F.count("*").alias("n")).collect()}
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col("l") == name, min(1.0, per_language / n)).otherwise(share)
-    sample = known.filter(F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 24)) < share * (1 << 24)) if sizes else known
+    share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, per_language / n))])[F.col("l")] if sizes else F.lit(0.0)
+    sample = known.filter(F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 24)) < share * (1 << 24))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"m": [pickle.dumps(train(list(rows.l), list(rows.t), dims, clusters, min_docs, slack, seed))]})

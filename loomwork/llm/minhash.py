@@ -8,7 +8,7 @@ A text's shingles are its runs of ``n`` words (lower case, letters and digits),
    in the list of one of the first s - ceil(t_est * s) + 1 values of each. Only those are listed: values of
    passages that many documents share come last and fall away without loss.
 2. First pass: each list links its members to its least node. Second pass: in the lists that still hold more than
-   one component, all pairs across components. Pairs within a component would change nothing, so the components
+   one component, all pairs across components of sets not too unlike in size. Pairs within a component would change nothing, so the components
    are those of all candidate pairs, while a group of thousands of copies costs a star instead of a square.
 3. Each candidate pair is estimated from the union sketch, and verified by the exact Jaccard similarity of the
    shingle sets. Pairs of at least ``threshold`` are edges; groups are the connected components.
@@ -46,9 +46,10 @@ def _signatures(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = encode(batch.column(2).to_pylist(), lower=True)
-            nodes, sizes, values = [], [], []
+            nodes, counts, sizes, values = [], [], [], []
             for s in shingle_sets(texts, n):
                 nodes.append(set_hash(s) if len(s) else None)
+                counts.append(len(s))
                 signed = s.view(np.int64)
                 # the k least as signed numbers: the negative ones, sorted last as unsigned, come first
                 split = int(np.searchsorted(s, np.uint64(1 << 63)))
@@ -57,7 +58,7 @@ def _signatures(n: int, k: int):
                 values.append(least)
             flat = np.concatenate(values) if values else np.zeros(0, np.int64)
             sketch = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), sketch], names=["doc_id", "th", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(counts, pa.int32()), sketch], names=["doc_id", "th", "node", "n", "sketch"])
 
     return run
 
@@ -97,8 +98,8 @@ class NearDuplicates:
         self.t_est = max(1 / k, threshold - slack * math.sqrt(threshold * (1 - threshold) / k))
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
         keyed = rows.select("doc_id", F.xxhash64("text").alias("th"), "text")
-        sig = ws.save(keyed.mapInArrow(_signatures(n, k), "doc_id long, th long, node long, sketch array<long>"))
-        nodes = ws.save(sig.filter("node is not null").groupBy("node").agg(F.first("sketch").alias("sketch")))
+        sig = ws.save(keyed.mapInArrow(_signatures(n, k), "doc_id long, th long, node long, n int, sketch array<long>"))
+        nodes = ws.save(sig.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
         lists = ws.save(self._lists(nodes))
         self.edges = self._edges(keyed, sig, nodes, lists)
         label = ws.save(connected_components(self.edges, "a", "b"))
@@ -106,12 +107,12 @@ class NearDuplicates:
         ws.drop(sig, nodes, lists)
 
     def _lists(self, nodes: DataFrame) -> DataFrame:
-        """Inverted lists (v, node) of the first values of each sketch, rarest first, without lists of one."""
-        e = nodes.select("node", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
+        """Inverted lists (v, node, n shingles) of the first values of each sketch, rarest first, without lists of one."""
+        e = nodes.select("node", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
         shared = e.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
-        ranked = e.join(shared, "v").groupBy("node").agg(F.first("s").alias("s"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
+        ranked = e.join(shared, "v").groupBy("node").agg(F.first("n").alias("n"), F.first("s").alias("s"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
         first = F.col("s") - F.ceil(F.lit(self.t_est) * F.col("s")) + 1 - (F.col("s") - F.size("vs"))
-        return ranked.filter(first > 0).select("node", F.explode(F.slice("vs", F.lit(1), first.cast("int"))).alias("x")).select(F.col("x.v").alias("v"), "node")
+        return ranked.filter(first > 0).select("node", "n", F.explode(F.slice("vs", F.lit(1), first.cast("int"))).alias("x")).select(F.col("x.v").alias("v"), "node", "n")
 
     def _verified(self, pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
         ends = {x: nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"}
@@ -131,11 +132,13 @@ class NearDuplicates:
         texts = ws.save(keyed.join(where, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("h"))).groupBy("node").agg(F.first("text").alias("text")))
         first = self._verified(star, nodes, texts)
         label = ws.save(connected_components(first, "a", "b"))
-        of = lists.join(label, "node", "left").select("v", "node", F.coalesce("component", "node").alias("c"))
+        of = lists.join(label, "node", "left").select("v", "node", "n", F.coalesce("component", "node").alias("c"))
         many = of.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("v")
         open_ = ws.save(of.join(many, "v", "left_semi"))
-        x, y = (open_.select("v", F.col("node").alias(p), F.col("c").alias(f"c{p}")) for p in "ab")
-        rest = x.join(y, "v").filter("a < b and ca <> cb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+        x, y = (open_.select("v", F.col("node").alias(p), F.col("c").alias(f"c{p}"), F.col("n").alias(f"n{p}")) for p in "ab")
+        # a similarity of t needs sets whose sizes differ by that factor at most
+        alike = F.least("na", "nb") >= F.lit(self.threshold) * F.greatest("na", "nb")
+        rest = x.join(y, "v").filter("a < b and ca <> cb").filter(alike).select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
         second = self._verified(rest, nodes, texts)
         return ws.save(first.unionByName(second))
 
