@@ -38,11 +38,20 @@ def has_keyword(column: str, terms: Iterable[str], ignore_case: bool = False) ->
     return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
 
 
+def _before(column: str, first: list[str], second: list[str]) -> Column:
+    """Where the earliest end of a first term is, a second term starts there or later: linear in the text, whatever it repeats."""
+    if not first or not second:
+        return F.lit(False)
+    at = [F.instr(F.col(column), t) for t in first]
+    ends = [F.when(x > 0, x + len(t)) for x, t in zip(at, first)]
+    start = F.least(*ends) if len(ends) > 1 else ends[0]
+    return F.coalesce(any_of(*[F.call_function("locate", F.lit(t), F.col(column), start) > 0 for t in second]), F.lit(False))
+
+
 def has_near(column: str, first: Iterable[str], second: Iterable[str], both_ways: bool = True) -> Column:
     """A term of one list occurs before a term of the other (anywhere after it), in either order if ``both_ways``."""
-    a, b = ("(?:" + "|".join(map(java_quote, x)) + ")" for x in (list(first), list(second)))
-    pattern = f"(?s){a}.*?{b}" + (f"|{b}.*?{a}" if both_ways else "")
-    return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
+    a, b = list(first), list(second)
+    return _before(column, a, b) | _before(column, b, a) if both_ways else _before(column, a, b)
 
 
 def code_set(column: str) -> Column:

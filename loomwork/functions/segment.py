@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,15 +35,31 @@ class TextTiler:
         self.w, self.k, self.width, self.rounds, self.policy = w, k, width, rounds, policy
 
     def similarities(self, words: list[str]) -> np.ndarray:
-        seqs = [Counter(x for x in words[i : i + self.w] if x not in STOPWORDS) for i in range(0, len(words), self.w)]
-        out = []
-        for gap in range(1, len(seqs)):
-            size = min(self.k, gap, len(seqs) - gap)
-            left, right = sum(seqs[gap - size : gap], Counter()), sum(seqs[gap : gap + size], Counter())
-            dot = sum(n * right[t] for t, n in left.items())
-            norm = np.sqrt(sum(n * n for n in left.values()) * sum(n * n for n in right.values()))
-            out.append(dot / norm if norm else 0.0)
-        return np.array(out)
+        """Cosine of the blocks on both sides of each gap, from running sums of term counts."""
+        n = -(-len(words) // self.w)
+        place = np.array([i // self.w for i, x in enumerate(words) if x not in STOPWORDS], dtype=np.int64)
+        terms = np.array([x for x in words if x not in STOPWORDS], dtype=object)
+        out = np.zeros(max(n - 1, 0))
+        if not len(terms):
+            return out
+        ids: dict[str, int] = {}
+        number = np.array([ids.setdefault(x, len(ids)) for x in terms], dtype=np.int64)
+        # a stretch of gaps at a time, with the terms that occur there, so memory follows the stretch and not the text
+        for a in range(1, n, 512):
+            b = min(n, a + 512)
+            lo, hi = max(0, a - self.k), min(n, b + self.k)
+            inside = (place >= lo) & (place < hi)
+            local, col = np.unique(number[inside], return_inverse=True)
+            counts = np.zeros((hi - lo + 1, len(local)), dtype=np.float32)
+            np.add.at(counts, (place[inside] - lo + 1, col), 1)
+            run = counts.cumsum(axis=0)
+            gap = np.arange(a, b)
+            size = np.minimum(self.k, np.minimum(gap, n - gap))
+            left = run[gap - lo] - run[gap - size - lo]
+            right = run[gap + size - lo] - run[gap - lo]
+            norm = np.sqrt((left * left).sum(axis=1) * (right * right).sum(axis=1))
+            out[a - 1 : b - 1] = np.where(norm > 0, (left * right).sum(axis=1) / np.where(norm > 0, norm, 1), 0)
+        return out
 
     def smooth(self, s: np.ndarray) -> np.ndarray:
         if len(s) <= self.width:
@@ -55,25 +71,27 @@ class TextTiler:
 
     @staticmethod
     def depths(s: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(s))
-        for i in range(len(s)):
-            a = i
-            while a > 0 and s[a - 1] >= s[a]:
-                a -= 1
-            b = i
-            while b < len(s) - 1 and s[b + 1] >= s[b]:
-                b += 1
-            out[i] = s[a] + s[b] - 2 * s[i]
-        return out
+        """Height of the peaks on both sides above each gap, added."""
+        left, right = s.copy(), s.copy()
+        for i in range(1, len(s)):
+            if s[i - 1] >= s[i]:
+                left[i] = left[i - 1]
+        for i in reversed(range(len(s) - 1)):
+            if s[i + 1] >= s[i]:
+                right[i] = right[i + 1]
+        return left + right - 2 * s
 
     def cuts(self, depths: np.ndarray) -> list[int]:
+        """Gaps deeper than the cutoff, the deepest first, at least four apart."""
         if not len(depths):
             return []
         cutoff = depths.mean() - depths.std() / (2 if self.policy == "HC" else 1)
+        near = np.zeros(len(depths), dtype=bool)
         taken: list[int] = []
-        for i in sorted(range(len(depths)), key=lambda i: (-depths[i], i)):
-            if depths[i] > max(cutoff, 0) and all(abs(i - j) >= 4 for j in taken):
+        for i in np.argsort(-depths, kind="stable").tolist():
+            if depths[i] > max(cutoff, 0) and not near[i]:
                 taken.append(i)
+                near[max(0, i - 3) : i + 4] = True
         return sorted(taken)
 
     def tile(self, text: str) -> list[tuple[str, float | None]]:
@@ -87,7 +105,8 @@ class TextTiler:
         at: dict[int, float] = {}
         for gap in self.cuts(depths):
             place = found[min((gap + 1) * self.w, len(found) - 1)].start()
-            cut = min(breaks, key=lambda b: (abs(b - place), b))
+            j = bisect.bisect_left(breaks, place)
+            cut = min(breaks[max(0, j - 1) : j + 1], key=lambda b: (abs(b - place), b))
             if 0 < cut < len(text):
                 at.setdefault(cut, float(depths[gap]))
         ends = sorted(at)

@@ -35,6 +35,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is heavy beside its bytes: a scan of fewer partitions than the job has cores (one small
+    file) is spread over them. A large table has more partitions, and stays where it is."""
+    df = table(spark, sf, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # ---- exact duplicates ----
 
 
@@ -56,19 +64,19 @@ BOILER = f"with l as ({LINES}), c as (select line, count(*) as n from l where le
 
 @query(BOILER + " select * from b")
 def boilerplate_lines(spark, sf):
-    return t.boilerplate_lines(table(spark, sf, "documents"), "text")
+    return t.boilerplate_lines(spread(spark, sf, "documents", "doc_id", "text"), "text")
 
 
 @query(BOILER + rf", r as (select doc_id, string_agg(raw, chr(10) order by pos) as x from (select doc_id, unnest(l) as raw, generate_subscripts(l, 1) as pos from (select doc_id, string_split_regex(text, '\r\n|\r|\n') as l from documents)) where {STRIP % 'raw'} not in (select line from b) group by doc_id) select d.doc_id, regexp_replace({STRIP % "coalesce(x, '')"}, '\n{{3,}}', chr(10) || chr(10), 'g') as cleaned from documents d left join r using (doc_id)")
 def strip_boilerplate(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(spark, sf, "documents", "doc_id", "text")
     lines = [r.line for r in t.boilerplate_lines(docs, "text").collect()]
     return t.strip_lines(docs, "text", lines, "x").select("doc_id", t.newlines("x").alias("cleaned"))
 
 
 @query(rf"select doc_id, len(regexp_extract_all(translate(regexp_replace(text, '<[^>]+>', ' ', 'g'), '‐‑‒–—/- ', '        '), '[A-Za-z0-9]+(?:''[A-Za-z0-9]+)?')) as words, len(regexp_extract_all(text, '{WORD}+')) as simple_words from documents")
 def word_counts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", t.word_count("text").cast("long").alias("words"), t.simple_word_count("text").cast("long").alias("simple_words"))
+    return spread(spark, sf, "documents", "doc_id", "text").select("doc_id", t.word_count("text").cast("long").alias("words"), t.simple_word_count("text").cast("long").alias("simple_words"))
 
 
 @query(rf"select doc_id, abs(w - n_chars) as diff, round(abs(w - n_chars) * 100.0 / n_chars, 6) as pct from (select doc_id, n_chars, len(regexp_extract_all(text, '{WORD}+')) as w from documents) where n_chars <> 0")
@@ -84,12 +92,12 @@ def html_sniff(spark, sf):
 
 @query()
 def html_to_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", t.html_to_text("html").alias("text"))
+    return spread(spark, sf, "pages", "page_id", "html").select("page_id", t.html_to_text("html").alias("text"))
 
 
 @query()
 def clean_pages(spark, sf):
-    return t.cleaned(table(spark, sf, "pages"), "html", "cleaned").select("page_id", "cleaned")
+    return t.cleaned(spread(spark, sf, "pages", "page_id", "html"), "html", "cleaned").select("page_id", "cleaned")
 
 
 @query("select doc_id, substr(text, 1, 2000) as start from documents")
@@ -100,7 +108,7 @@ def prefix_truncation(spark, sf):
 @query(f"with w as (select doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') as t from documents) select doc_id, len(t) as n_tokens, len(list_filter(t, lambda x: x = upper(x) and x <> lower(x))) as n_upper from w")
 def upper_tokens(spark, sf):
     tok = t.tokens("text")
-    return table(spark, sf, "documents").select("doc_id", F.size(tok).cast("long").alias("n_tokens"), F.size(F.filter(tok, t.is_upper)).cast("long").alias("n_upper"))
+    return spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.size(tok).cast("long").alias("n_tokens"), F.size(F.filter(tok, t.is_upper)).cast("long").alias("n_upper"))
 
 
 # ---- predicates ----
@@ -118,7 +126,7 @@ def keyword_filter_folded(spark, sf):
 
 @query("select doc_id from documents where text like '%Licensed%the%' or text like '%the%Licensed%' or text like '%token%the%' or text like '%the%token%'")
 def proximity_filter(spark, sf):
-    return table(spark, sf, "documents").filter(p.has_near("text", ["Licensed", "token"], ["the"])).select("doc_id")
+    return spread(spark, sf, "documents", "doc_id", "text").filter(p.has_near("text", ["Licensed", "token"], ["the"])).select("doc_id")
 
 
 @query("select count(*) as n from documents where contains(text, 'License') and lang in ('en', 'de') and not contains(text, 'GNU')")
@@ -346,13 +354,13 @@ def _shingle_sql() -> str:
 
 @query(f"select doc_id, count(*) as n, count(distinct s) as n_distinct, min(s) as least from {_SHINGLES} group by doc_id")
 def shingles(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.explode(t.shingles("text")).alias("s"))
+    d = spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.explode(t.shingles("text")).alias("s"))
     return d.groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("s").alias("n_distinct"), F.min("s").alias("least"))
 
 
 @query(f"with w as (select doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') as t from documents), i as (select *, unnest(range(0, case when len(t) <= 350 then 1 else (len(t) - 350) // 300 + 1 end)) as k from w where len(t) > 0) select doc_id, k::int as window, len(list_slice(t, k * 300 + 1, k * 300 + 350)) as n, t[k * 300 + 1] as first from i")
 def token_windows(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.posexplode(t.windows(t.tokens("text"))).alias("window", "w"))
+    d = spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.posexplode(t.windows(t.tokens("text"))).alias("window", "w"))
     return d.select("doc_id", "window", F.size("w").cast("long").alias("n"), F.col("w")[0].alias("first"))
 
 
@@ -366,7 +374,7 @@ select a, b, round(i / (na.n + nb.n - i), 6) as jaccard from i join n na on na.i
 
 
 def _near(spark, sf) -> DataFrame:
-    return dedup.minhash_pairs(table(spark, sf, "documents"), "doc_id", "text", 64, 16, 4, threshold=0.5)
+    return dedup.minhash_pairs(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", 64, 16, 4, threshold=0.5)
 
 
 @query(_minhash_sql())
@@ -385,7 +393,7 @@ def connected_components(spark, sf):
 @query("with recursive p as (" + _minhash_sql() + ")" + _CC.format(p="p") + ", f as (select doc_id, length(text) as len, coalesce(component, doc_id) as component from documents left join c on node = doc_id) select component, arg_max(doc_id, len * 1000000000 - doc_id) as doc_id, count(*) as n from f group by component")
 def cluster_representatives(spark, sf):
     labels = dedup.clusters(Workspace(spark, "q").save(_near(spark, sf)))
-    return dedup.representatives(table(spark, sf, "documents"), "doc_id", "text", labels)
+    return dedup.representatives(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", labels)
 
 
 def _simhash_sql() -> str:
@@ -398,28 +406,28 @@ v as (select doc_id as id, {_H.format(x='g', a=1)} as h, {_H.format(x='g', a=9)}
 
 @query("with " + _simhash_sql() + " select * from f")
 def simhash_fingerprints(spark, sf):
-    return dedup.simhash_table(table(spark, sf, "documents"), "doc_id", "text")
+    return dedup.simhash_table(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 @query("with " + _simhash_sql() + " select a.id as a, b.id as b, bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) as distance from f a join f b on a.id < b.id where bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 7")
 def simhash_pairs(spark, sf):
-    fp = Workspace(spark, "q").save(dedup.simhash_table(table(spark, sf, "documents"), "doc_id", "text"))
+    fp = Workspace(spark, "q").save(dedup.simhash_table(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text"))
     return dedup.hamming_pairs(fp, 7)
 
 
 @query()
 def simhash_greedy(spark, sf):
-    return dedup.simhash_dedup(table(spark, sf, "documents"), "doc_id", "text", radius=7)
+    return dedup.simhash_dedup(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", radius=7)
 
 
 @query("select item_id as needle_id, doc_id from benchmark b join documents d on contains(d.text, b.text)")
 def containment_pairs(spark, sf):
-    return dedup.containment_pairs(table(spark, sf, "benchmark"), "item_id", "text", table(spark, sf, "documents"), "doc_id", "text")
+    return dedup.containment_pairs(table(spark, sf, "benchmark"), "item_id", "text", spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 @query()
 def dedup_cascade(spark, sf):
-    return dedup.cascade(table(spark, sf, "documents"), "doc_id", "text", 64, 16, 4, threshold=0.5, radius=7)
+    return dedup.cascade(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", 64, 16, 4, threshold=0.5, radius=7)
 
 
 # ---- vectors ----
@@ -448,18 +456,18 @@ def mean_pooling(spark, sf):
 
 @query()
 def text_tiles(spark, sf):
-    d = t.cleaned(table(spark, sf, "documents"), "text", "cleaned").select("doc_id", "cleaned")
+    d = t.cleaned(spread(spark, sf, "documents", "doc_id", "text"), "text", "cleaned").select("doc_id", "cleaned")
     return segment.tile_texts(d, "cleaned", "doc_id").drop("cleaned")
 
 
 @query()
 def rechunk(spark, sf):
-    return segment.rechunked(table(spark, sf, "documents"), "text", limit=128).select("doc_id", F.posexplode("chunks").alias("chunk", "text"))
+    return segment.rechunked(spread(spark, sf, "documents", "doc_id", "text"), "text", limit=128).select("doc_id", F.posexplode("chunks").alias("chunk", "text"))
 
 
 @query()
 def first_last_sentence(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", t.first_last_sentence("text").alias("s")).select("doc_id", "s.first", "s.last")
+    return spread(spark, sf, "documents", "doc_id", "text").select("doc_id", t.first_last_sentence("text").alias("s")).select("doc_id", "s.first", "s.last")
 
 
 def _stub():
