@@ -170,6 +170,12 @@ def region_filter(spark, sf):
     return n.filter(p.in_region("region_codes")).select("n_nationkey")
 
 
+@query("select n_nationkey, n_regionkey from nation where n_name in (select n_name from nation where n_nationkey % 4 = 0)")
+def named_list_filter(spark, sf):
+    n = table(spark, sf, "nation")
+    return p.on_list(n, "n_name", n.filter("n_nationkey % 4 = 0"), "n_name").select("n_nationkey", "n_regionkey")
+
+
 # ---- code lists ----
 
 _PART = "select p_partkey, string_agg(l_suppkey::varchar, ',' order by l_orderkey, l_linenumber, l_suppkey::varchar) as codes from part join lineitem on l_partkey = p_partkey group by p_partkey"
@@ -310,6 +316,31 @@ def length_stats(spark, sf):
     return got.select("n_docs", "max", *[F.round(c, 6).alias(c) for c in ("mean", "std", "p25", "p50", "p75", "p95", "p99")])
 
 
+@query("select count(n_chars) as count, round(avg(n_chars), 6) as mean, round(stddev_samp(n_chars), 6) as std, min(n_chars) as min, quantile_cont(n_chars, 0.25) as p25, quantile_cont(n_chars, 0.5) as p50, quantile_cont(n_chars, 0.75) as p75, max(n_chars) as max from documents")
+def describe(spark, sf):
+    return s.describe(table(spark, sf, "documents"), "n_chars").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query("select count(*) as n, sum(case when role = 'user' then length(text) else 0 end)::bigint as prompt_tokens, sum(case when role = 'user' then 0 else length(text) end)::bigint as completion_tokens, round(sum(case when role = 'user' then length(text) else 0 end) / 1e6 * 0.4 + sum(case when role = 'user' then 0 else length(text) end) / 1e6 * 1.6, 6) as cost, round((sum(case when role = 'user' then length(text) else 0 end) / 1e6 * 0.4 + sum(case when role = 'user' then 0 else length(text) end) / 1e6 * 1.6) / count(*) * 100000, 6) as projected_cost from conversations")
+def token_cost(spark, sf):
+    user = F.col("role") == "user"
+    c = table(spark, sf, "conversations").withColumns({"a": F.when(user, F.length("text")).otherwise(0), "b": F.when(user, 0).otherwise(F.length("text"))})
+    return s.token_cost(c, "a", "b", 0.4, 1.6, 100_000).withColumns({x: F.round(x, 6) for x in ("cost", "projected_cost")})
+
+
+@query(f"select distinct unnest(list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '')) as item from benchmark")
+def union_of_lists(spark, sf):
+    return s.union_of_lists(table(spark, sf, "benchmark").select(t.tokens("text").alias("x")), "x")
+
+
+@query("select lower(l_returnflag) as code, arg_min(l_shipdate::date::varchar, l_orderkey * 10000000000 + l_linenumber * 100000000 + l_partkey * 1000 + l_suppkey) as name from lineitem group by 1")
+def taxonomy_first(spark, sf):
+    from loomwork.sources.remote import taxonomy_table
+
+    rows = table(spark, sf, "lineitem").select("l_returnflag", F.to_date("l_shipdate").cast("string").alias("d"), (F.col("l_orderkey") * 10000000000 + F.col("l_linenumber") * 100000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("o"))
+    return taxonomy_table(rows, "l_returnflag", "d", "o")
+
+
 @query("select source, count(n_chars) as n, round(avg(n_chars), 6) as mean, round(stddev_pop(n_chars), 6) as std, quantile_cont(n_chars, 0.5) as median, max(n_chars) as max from documents group by source")
 def stats_by_parameter(spark, sf):
     got = s.stats_by_parameter(table(spark, sf, "documents"), "source", "n_chars")
