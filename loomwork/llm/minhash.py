@@ -104,7 +104,7 @@ class NearDuplicates:
         self.edges = self._edges(keyed, sig, nodes, lists)
         label = ws.save(connected_components(self.edges, "a", "b"))
         self.groups = ws.save(self._groups(sig, label))
-        ws.drop(sig, nodes, lists)
+        ws.drop(sig, nodes, lists, label)
 
     def _lists(self, nodes: DataFrame) -> DataFrame:
         """Inverted lists (v, node, n shingles) of the first values of each sketch, rarest first, without lists of one."""
@@ -140,7 +140,9 @@ class NearDuplicates:
         alike = F.least("na", "nb") >= F.lit(self.threshold) * F.greatest("na", "nb")
         rest = x.join(y, "v").filter("a < b and ca <> cb").filter(alike).select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
         second = self._verified(rest, nodes, texts)
-        return ws.save(first.unionByName(second))
+        edges = ws.save(first.unionByName(second))
+        ws.drop(star, texts, label, open_, first, second)
+        return edges
 
     @staticmethod
     def _groups(sig: DataFrame, label: DataFrame) -> DataFrame:
