@@ -163,17 +163,17 @@ def range_filter(spark, sf):
 _REGIONS = ",".join(f"'{x}'" for x in p.EUROPE)
 
 
-@query(f"with n as (select n_nationkey, ',' || lower(n_name) || case when n_nationkey % 3 = 0 then ',fra,' when n_nationkey % 3 = 1 then ',uk' else ',' end as region_codes from nation) select n_nationkey from n where list_has_any(string_split(trim(region_codes, ','), ','), [{_REGIONS}])")
+@query(f"with n as (select n_nationkey, ',' || lower(n_name) || case when n_regionkey < 2 then ',fra,' when n_regionkey = 2 then ',uk' else ',' end as region_codes from nation) select n_nationkey from n where list_has_any(string_split(trim(region_codes, ','), ','), [{_REGIONS}])")
 def region_filter(spark, sf):
-    k = F.col("n_nationkey") % 3
-    n = table(spark, sf, "nation").withColumn("region_codes", F.concat(F.lit(","), F.lower("n_name"), F.when(k == 0, ",fra,").when(k == 1, ",uk").otherwise(",")))
+    k = F.col("n_regionkey")
+    n = table(spark, sf, "nation").withColumn("region_codes", F.concat(F.lit(","), F.lower("n_name"), F.when(k < 2, ",fra,").when(k == 2, ",uk").otherwise(",")))
     return n.filter(p.in_region("region_codes")).select("n_nationkey")
 
 
-@query("select n_nationkey, n_regionkey from nation where n_name in (select n_name from nation where n_nationkey % 4 = 0)")
+@query("select n_nationkey, n_regionkey from nation where n_name in (select n_name from nation where n_regionkey = 3)")
 def named_list_filter(spark, sf):
     n = table(spark, sf, "nation")
-    return p.on_list(n, "n_name", n.filter("n_nationkey % 4 = 0"), "n_name").select("n_nationkey", "n_regionkey")
+    return p.on_list(n, "n_name", n.filter("n_regionkey = 3"), "n_name").select("n_nationkey", "n_regionkey")
 
 
 # ---- code lists ----
@@ -187,10 +187,10 @@ def _part_codes(spark, sf) -> DataFrame:
 
 
 def _suppliers(spark, sf) -> DataFrame:
-    return table(spark, sf, "supplier").filter("s_suppkey % 5 <> 0").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"))
+    return table(spark, sf, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"))
 
 
-_NAMES = "names as (select s_suppkey::varchar as code, s_name as name from supplier where s_suppkey % 5 <> 0)"
+_NAMES = "names as (select s_suppkey::varchar as code, s_name as name from supplier where s_acctbal > 0)"
 
 
 @query("select l_orderkey, l_linenumber, array_to_string(list_sort(list_distinct(list_filter(string_split(',' || l_returnflag || ',' || l_linestatus || ',,' || l_returnflag, ','), lambda x: x <> ''))), ',') as codes from lineitem")
@@ -209,9 +209,9 @@ def decode_codes_sorted(spark, sf):
     return codes.decode_sorted(_part_codes(spark, sf), "codes", _suppliers(spark, sf), "names", "p_partkey").select("p_partkey", "names")
 
 
-@query("select o_orderkey, coalesce(c_name, o_custkey::varchar) as customer from orders left join (select * from customer where c_custkey % 7 <> 0) on c_custkey = o_custkey")
+@query("select o_orderkey, coalesce(c_name, o_custkey::varchar) as customer from orders left join (select * from customer where c_acctbal > 0) on c_custkey = o_custkey")
 def decode_scalar_fallback(spark, sf):
-    names = table(spark, sf, "customer").filter("c_custkey % 7 <> 0").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"))
+    names = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"))
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("code_"))
     return codes.decode_scalar(orders, "code_", names, "customer").select("o_orderkey", "customer")
 
