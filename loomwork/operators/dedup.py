@@ -59,6 +59,17 @@ def bands(signatures: DataFrame, n_bands: int = 3, rows: int = 21) -> DataFrame:
     return signatures.select("id", F.posexplode(keys).alias("band", "key"))
 
 
+def banding(threshold: float | None, num_perm: int = 64, recall: float = 0.95) -> tuple[int, int]:
+    """Bands and rows a band: the most rows, so the fewest candidates, that propose a pair right at ``threshold`` with a
+    probability of ``recall``. Without a threshold the bands are the measure: 3 of 21."""
+    if threshold is None:
+        return 3, 21
+    for rows in range(num_perm, 1, -1):
+        if 1 - (1 - threshold**rows) ** (num_perm // rows) >= recall:
+            return num_perm // rows, rows
+    return num_perm, 1
+
+
 def band_pairs(banded: DataFrame, star: bool = False) -> DataFrame:
     """a < b: pairs that share a band. With ``star`` each bucket links its members to its least: as many rows as
     members, and the same components, but only good where pairs are not verified."""
@@ -77,11 +88,14 @@ def jaccard_pairs(pairs: DataFrame, table: DataFrame, threshold: float) -> DataF
     return both.withColumn("i", inter).withColumn("jaccard", F.col("i") / (F.size("x") + F.size("y") - F.col("i"))).filter(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
 
 
-def minhash_pairs(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_bands: int = 3, rows: int = 21, n: int = 8, threshold: float | None = None, short_text: str = "bypass") -> DataFrame:
-    """a, b (and jaccard, if verified by ``threshold``). Without it every pair that shares a band counts.
+def minhash_pairs(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_bands: int | None = None, rows: int | None = None, n: int = 8, threshold: float | None = None, short_text: str = "bypass") -> DataFrame:
+    """a, b (and jaccard, if verified by ``threshold``). Without it every pair that shares a band counts. Bands that are not
+    given are those of ``banding``.
 
     Exact copies make hot buckets: run ``exact_dedup`` before. Texts of fewer than n words have no shingle: with
     ``short_text`` "bypass" they match nothing, with "collapse" each other."""
+    if n_bands is None or rows is None:
+        n_bands, rows = banding(threshold, num_perm)
     sig = minhash_signatures(df, doc_id, text, num_perm, n)
     verify = threshold is not None
     pairs = band_pairs(bands(sig, n_bands, rows), star=not verify)
@@ -204,7 +218,7 @@ def containment_dedup(df: DataFrame, doc_id: str, text: str, min_length: int = 2
     return pool.select(F.col(doc_id).alias("id")).join(inside, "id", "left_anti")
 
 
-def cascade(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_bands: int = 3, rows: int = 21, threshold: float | None = None, contained: bool = False, ngram: int = 4, radius: int = 3) -> DataFrame:
+def cascade(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_bands: int | None = None, rows: int | None = None, threshold: float | None = None, contained: bool = False, ngram: int = 4, radius: int = 3) -> DataFrame:
     """doc_id of what is left after exact, MinHash (longest of a cluster), optionally containment, and SimHash removal:
     cheap stages first, each written before the next."""
     ws = Workspace(df.sparkSession, "cascade")

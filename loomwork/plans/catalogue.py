@@ -458,7 +458,7 @@ def containment_pairs(spark, sf):
 
 @query()
 def dedup_cascade(spark, sf):
-    return dedup.cascade(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", 64, 16, 4, threshold=0.5, radius=7)
+    return dedup.cascade(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", threshold=0.5, radius=7)
 
 
 # ---- vectors ----

@@ -225,6 +225,21 @@ def test_minhash_short_texts(spark):
     assert sorted(r.i for r in reps.collect()) == [1, 2, 4, 5]
 
 
+def test_minhash_recall_at_the_threshold(spark):
+    """Bands derived from the threshold find the pairs right at it; of 300 pairs at 0.5, sixteen bands of four lose a third."""
+    assert dedup.banding(None) == (3, 21)
+    for x in (0.3, 0.5, 0.6, 0.8, 0.9):
+        n, r = dedup.banding(x)
+        assert n * r <= 64 and 1 - (1 - x**r) ** n >= 0.95
+    rows = []
+    for i in range(300):  # 60 words have 53 shingles; with the last 17 words changed 36 of 70 are shared
+        w = [f"w{i}x{j}" for j in range(60)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:43] + [f"v{i}x{j}" for j in range(17)]))]
+    found = {(r.a, r.b): r.jaccard for r in dedup.minhash_pairs(spark.createDataFrame(rows, "i long, v string"), "i", "v", threshold=0.5).collect()}
+    assert set(found) <= {(2 * i, 2 * i + 1) for i in range(300)} and len(found) >= 285
+    assert all(abs(j - 36 / 70) < 1e-9 for j in found.values())
+
+
 def test_hamming_pairs_are_all(spark):
     r = random.Random(0)
     fp = [(i, r.getrandbits(32), r.getrandbits(32)) for i in range(60)]
