@@ -24,8 +24,9 @@ def mean_pool(df: DataFrame, owner: str, vector: str, out: str = "embedding") ->
     return lists.select(owner, F.when(norm > 0, F.transform(m, lambda x: x / norm)).otherwise(m).alias(out))
 
 
-def embed(df: DataFrame, doc_id: str, text: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]], size: int = 350, stride: int = 300, keep_tail: bool = False, batch: int = 128) -> DataFrame:
-    """doc_id, embedding: windows of tokens, encoded in batches across documents, pooled by document.
+def embed(df: DataFrame, doc_id: str, text: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]], size: int = 350, stride: int = 300, keep_tail: bool = True, batch: int = 128) -> DataFrame:
+    """doc_id, embedding: windows of tokens, encoded in batches across documents, pooled by document. All tokens count;
+    without ``keep_tail`` those after the last full window don't (parity with the reference).
 
     ``encoder`` makes the encoder once a task: a model is injected, none is shipped."""
     wins = df.select(doc_id, F.explode(windows(tokens(text), size, stride, keep_tail)).alias("__w")).select(doc_id, F.array_join("__w", " ").alias("__w"))

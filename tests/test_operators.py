@@ -314,6 +314,15 @@ def test_embed_and_semantic_dedup(spark):
     assert sorted((r.i, r.n) for r in keep.collect()) == [(2, 2), (3, 1)]
 
 
+def test_embed_reads_to_the_end(spark):
+    """Texts that differ only after the last full window have different vectors."""
+    text = " ".join(f"w{i}" for i in range(600))
+    df = spark.createDataFrame([(1, text), (2, text.replace("w599", "other words at the end"))], "i long, v string")
+    vec = lambda **k: [r.embedding for r in semantic.embed(df, "i", "v", semantic.hashed_encoder(), **k).orderBy("i").collect()]
+    whole, cut = vec(), vec(keep_tail=False)
+    assert whole[0] != whole[1] and cut[0] == cut[1]
+
+
 # ---- segments ----
 
 
