@@ -38,7 +38,6 @@ from loomwork.llm import names
 from loomwork.workspace import Workspace
 
 _DOMAIN = re.compile(r"@((?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z]{2,24})(?![A-Za-z0-9])")
-_LOCAL = re.compile(r"[\w.%+'-]{1,64}\Z")
 _NUMBER = re.compile(r"(?:\+ ?|\()?\d")
 _DIGITS = re.compile(r"\d+")
 _PHONES = [
@@ -57,10 +56,11 @@ _IP4 = re.compile(r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4
 _SSN = re.compile(r"\d{3}-\d{2}-\d{4}(?![\d-])")
 _CARD = re.compile(r"(?:\d{13,19}|\d{4}(?:([ -])\d{4})(?:\1\d{4}){2}(?:\1\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?![\d])")
 _ASSIGN = re.compile(r"[:=]")
-_VALUE = re.compile(r"""[:=]{1,2}[>]?[ \t]*(?:Bearer )?(["'`]?)([A-Za-z0-9+/_=.~!@$%^&*-]{6,512})\1""")
+_VALUE = re.compile(r"""[:=]{1,2}[>]?[ \t]*(?:Bearer )?(["'`]?)([A-Za-z0-9+/_=.~!@$%^&*-]{6,}+)\1""")
+_BEGUN = re.compile(_VALUE.pattern.removesuffix(r",}+)\1") + "})")
 _KEYWORD = re.compile(r"""(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|credential|client[_-]?id)s?["'`]?[ \t]*\Z""")
 _PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "sk-", "sk_live_", "pk_live_", "xox", "glpat-", "AIza", "eyJ")
-_PREFIXED = re.compile(r"(?<![A-Za-z0-9])(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|sk-|sk_live_|pk_live_|xox[abprs]-|glpat-|AIza|eyJ)[A-Za-z0-9_.=-]{16,512}")
+_PREFIXED = re.compile(r"(?<![A-Za-z0-9])(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|sk-|sk_live_|pk_live_|xox[abprs]-|glpat-|AIza|eyJ)[A-Za-z0-9_.=-]{16,}+")
 _KEYBLOCK = re.compile(r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)([A-Za-z0-9+/=\s]+)(-----END [A-Z ]*PRIVATE KEY-----)")
 _WORDCHARS = re.compile(r"[A-Za-z0-9]*\Z")
 _WORDCHARS_ON = re.compile(r"[A-Za-z0-9]*")
@@ -87,19 +87,21 @@ def _iban_mod(s: str) -> int:
 
 def _emails(t: str, out: list[Span]) -> None:
     for m in _DOMAIN.finditer(t):
-        local = _LOCAL.search(t, max(0, m.start() - 64), m.start())
-        if local:
-            a = local.start()
-            while a < m.start() and t[a] in ".'-+%":
-                a += 1
-            if a < m.start():
-                out.append((a, m.end(), "email", t[a : m.end()].lower()))
+        a = m.start()
+        while a and (t[a - 1].isalnum() or t[a - 1] in "_.%+'-"):
+            a -= 1
+        while a < m.start() and t[a] in ".'-+%":
+            a += 1
+        if a < m.start():
+            out.append((a, m.end(), "email", t[a : m.end()].lower()))
 
 
 def _secrets(t: str, out: list[Span]) -> None:
+    end = 0  # what begins within a value is part of it and isn't read again
     for m in _ASSIGN.finditer(t):
-        if _KEYWORD.search(t, max(0, m.start() - 40), m.start()) and (v := _VALUE.match(t, m.start())):
+        if _KEYWORD.search(t, max(0, m.start() - 40), m.start()) and (b := _BEGUN.match(t, m.start())) and b.start(2) >= end and (v := _VALUE.match(t, m.start())):
             out.append((v.start(2), v.end(2), "secret", v[2]))
+            end = v.end(2)
     if any(p in t for p in _PREFIXES):
         out += [(m.start(), m.end(), "secret", m[0]) for m in _PREFIXED.finditer(t)]
     if "PRIVATE KEY-----" in t:

@@ -200,6 +200,21 @@ def test_entities_in_their_formats():
     assert s[1].upper() == s[3] and names.gender_of(s[2]) == "f"
 
 
+def test_long_secrets_are_replaced_whole():
+    import time
+
+    long = "aZ3_" * 1500
+    jwt = "eyJ" + "hbGciOi9" * 400 + "." + "c2lnbmF0" * 100
+    for t, secret in ((f'token = "{long}" end', long), (f"password: {long} end", long), (f"see {jwt} end", jwt), (f"see {'x.y' * 400}@mail.example.org end", "x.y" * 400 + "@mail.example.org")):
+        assert [t[a:b] for a, b, _, _ in pii.find(t)] == [secret]
+        out, n = pii.replace(t, KEY, {})
+        assert n == 1 and out.endswith(" end") or out.endswith('" end')
+        assert not any(secret[i : i + 24] in out for i in range(len(secret) - 40))
+    began = time.process_time()
+    assert len(pii.find("token=" * 50_000)) == 1 and not pii.find("a." * 100_000)
+    assert time.process_time() - began < 20
+
+
 def test_numbers_that_are_no_entities():
     for t in ("version 1.2.3.4.5", "on 2024-05-06 and 12.05.2024", "price 1,234,567.89", "CC BY-NC 4.0", "in 1999", "Mr. and", "The Then", "12345678"):
         assert pii.find(t) == []
