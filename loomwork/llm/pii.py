@@ -68,7 +68,8 @@ _HEX = re.compile(r"[0-9a-f]{32,}\Z|[0-9A-F]{32,}\Z")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _IP6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![0-9A-Fa-f:])")
 _CAPS = re.compile(r"[A-ZÀ-ÖØ-ÞΑ-ΫЀ-Я]")
-_PERSON = re.compile(r"([^\W\d_]+(?:-[^\W\d_]+)?)\.?[  ]([^\W\d_]+(?:['’-][^\W\d_]+)*)(?:[  ]([^\W\d_]+(?:['’-][^\W\d_]+)*))?")
+_FIRST = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
+_MORE = re.compile(r"(\.?)[ \u00a0]([^\W\d_]+(?:['’-][^\W\d_]+)*)")
 
 Span = tuple[int, int, str, str]  # start, end, kind, canonical value
 
@@ -151,6 +152,29 @@ def _numbers(t: str, out: list[Span]) -> None:
                     break
 
 
+def _named(t: str, at: int) -> list[tuple[int, str]]:
+    """The words of a name from ``at``: listed given names, then the surname; initials are skipped. Where the first word that isn't listed
+    is followed by another capitalised one, it may be a given name: both are taken, unless in capitals throughout."""
+    words: list[tuple[int, str]] = []
+    dotted, last = True, False
+    while m := _MORE.match(t, at):
+        w = m[2]
+        if m[1] and not dotted:
+            break
+        if len(w) == 1 and w.isupper():
+            dotted = True
+        elif not names.capital(w) or (last and w.isupper()):
+            break
+        else:
+            words.append((m.start(2), w))
+            dotted = False
+            if last:
+                break
+            last = not names.gender_of(w)
+        at = m.end()
+    return words
+
+
 def _persons(t: str, out: list[Span]) -> None:
     at = 0
     while m := _CAPS.search(t, at):
@@ -158,19 +182,18 @@ def _persons(t: str, out: list[Span]) -> None:
         at = m.end()
         if s and (t[s - 1].isalnum() or t[s - 1] == "_"):
             continue
-        p = _PERSON.match(t, s)
+        p = _FIRST.match(t, s)
         if not p:
             continue
-        first, second, third = p.groups()
-        if names.is_title(first) and names.capital(second):
-            words = [(p.start(2), second)]
-            if third and names.capital(third) and names.gender_of(second):
-                words.append((p.start(3), third))
+        first = p[0]
+        title, given = names.is_title(first), names.gender_of(first) and names.capital(first)
+        words = _named(t, p.end()) if title or given else []
+        if not words:
+            continue
+        if title:
             gender = names.title_gender(first)
-        elif names.gender_of(first) and names.capital(second) and names.capital(first):
-            words, gender = [(s, first), (p.start(2), second)], names.gender_of(first)
         else:
-            continue
+            words, gender = [(s, first), *words], names.gender_of(first)
         for k, (a, w) in enumerate(words):
             given = names.gender_of(w) and k < len(words) - 1
             out.append((a, a + len(w), "given" if given else "surname", f"{names.script(w)}:{names.gender_of(w) if given else names.surname_gender(w, gender)}:{w.casefold()}"))

@@ -215,6 +215,24 @@ def test_long_secrets_are_replaced_whole():
     assert time.process_time() - began < 20
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("by Mary Elizabeth Johnson in", "given Mary given Elizabeth surname Johnson"),
+        ("by John F. Kennedy in", "given John surname Kennedy"),
+        ("by John F Kennedy. Then", "given John surname Kennedy"),
+        ("by George R. R. Martin in", "given George surname Martin"),
+        ("by Mr. J. Smith in", "surname Smith"),
+        ("by Mary Ann Johnson in", "given Mary surname Ann surname Johnson"),
+        ("by Mary Elizabeth in", "given Mary surname Elizabeth"),
+        ("by Mary Johnson. The", "given Mary surname Johnson"),
+        ("BY MARY JOHNSON WAS", "given MARY surname JOHNSON"),
+    ],
+)
+def test_names_of_three_parts(text, want):
+    assert " ".join(f"{k} {text[a:b]}" for a, b, k, _ in pii.find(text)) == want
+
+
 def test_numbers_that_are_no_entities():
     for t in ("version 1.2.3.4.5", "on 2024-05-06 and 12.05.2024", "price 1,234,567.89", "CC BY-NC 4.0", "in 1999", "Mr. and", "The Then", "12345678"):
         assert pii.find(t) == []
