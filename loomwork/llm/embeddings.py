@@ -4,8 +4,8 @@ A vector is normalised, padded to a power of two and rotated at random three tim
 its hash is the axis of the cross-polytope that is nearest, the coordinate of greatest size with its sign. ``k`` such hashes make
 a bucket of one of ``tables`` tables; each vector is also listed in the ``probes`` next best buckets, those that change
 the hashes with the least loss. ``k`` grows with the logarithm of the number of vectors, so that there are
-more buckets than vectors and unlike vectors seldom meet, and there are 2**k tables; with four probes
-that finds more than 0.95 of the pairs right at a cosine of 0.9, and more of nearer ones.
+more buckets than vectors and unlike vectors seldom meet. There are 2**k tables, or more where the dimension, k and the threshold need
+more: as many as find 0.97 of the pairs right at the threshold, by the share that one table finds of random pairs at that cosine.
 
 Candidates are first the star of each bucket, from its least node to the others, then, in buckets that still hold
 several components, all pairs of different components of which at least one is at home there. All are verified by exact
@@ -79,6 +79,21 @@ def buckets(x: np.ndarray, k: int, tables: int, probes: int, seed: int = 5) -> n
     return out
 
 
+def tables_for(d: int, k: int, probes: int, threshold: float, recall: float = 0.97, seed: int = 5) -> int:
+    """Tables that find ``recall`` of the pairs right at the threshold, 2**k at least: one table's share is measured on
+    random pairs of that cosine. ValueError where it finds none of them."""
+    r, c, met, n = np.random.default_rng((seed, d, k)), min(1.0, max(-1.0, threshold)), 0, 4096
+    for _ in range(0, n, 512):
+        x, z = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in r.standard_normal((2, 512, d)))
+        z -= (x * z).sum(axis=1, keepdims=True) * x
+        y = c * x + math.sqrt(1 - c * c) * z / np.linalg.norm(z, axis=1, keepdims=True)
+        a, b = (buckets(v.astype(np.float32), k, 1, probes, seed)[:, 0] for v in (x, y))
+        met += int(((a[:, :1] == b).any(axis=1) | (b[:, :1] == a).any(axis=1)).sum())
+    if not met:
+        raise ValueError(f"no table of {k} hashes in {d} dimensions finds pairs at a cosine of {threshold}: give tables, or a larger per_bucket")
+    return max(1 << k, 1 if met == n else math.ceil(math.log(1 - recall) / math.log(1 - met / n)))
+
+
 def _matrix(vectors: list, d: int) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors padded to d, and which rows are vectors at all."""
     x, ok = np.zeros((len(vectors), d), dtype=np.float32), np.zeros(len(vectors), dtype=bool)
@@ -119,7 +134,7 @@ class NearEmbeddings:
         shape = rows.agg(F.count("*").alias("n"), F.max(F.size("e")).alias("d")).first()
         d = 1 << max(1, math.ceil(math.log2(max(2, shape.d or 0))))
         self.k = k = min(max(1, math.ceil(math.log(max(2, shape.n / per_bucket)) / math.log(2 * d))), int(62 // math.log2(2 * d)))
-        tables = tables or 1 << k
+        self.tables = tables = tables or tables_for(d, k, probes, threshold, seed=seed)
         usable = F.col("e").isNotNull() & (F.size("e") > 0) & F.forall("e", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("e", lambda v: v != 0)
         self.nodes = nodes = ws.save(rows.filter(usable).groupBy(F.col("vh").alias("node")).agg(F.first("e").alias("e")))
 
