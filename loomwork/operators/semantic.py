@@ -129,9 +129,9 @@ def cosine_pairs(df: DataFrame, vec_id: str, vector: str, threshold: float, bloc
     return spread.groupBy("x", "y").applyInPandas(near, "a long, b long, similarity double")
 
 
-def semantic_dedup(df: DataFrame, doc_id: str, text: str, vector: str, threshold: float = 0.95, mode: str = "top1", blocks: int | None = None) -> DataFrame:
-    """component, doc_id, n: the longest text (or, without a text column, the least id) of each group of near vectors. ``top1`` links each row to its
-    nearest other, ``all_pairs`` to all from the threshold on."""
+def semantic_dedup(df: DataFrame, doc_id: str, text: str, vector: str, threshold: float = 0.95, mode: str = "all_pairs", blocks: int | None = None) -> DataFrame:
+    """component, doc_id, n: the longest text (or, without a text column, the least id) of each group of near vectors. ``all_pairs`` links each row to
+    all others from the threshold on, ``top1`` to its nearest only (parity with the reference; a group may fall apart and keep several)."""
     ws = Workspace(df.sparkSession, "semantic")
     if mode == "top1":
         near = cosine_topk(df, doc_id, vector, 1, threshold, blocks).select(F.col("id").alias("a"), F.col("neighbour").alias("b"))

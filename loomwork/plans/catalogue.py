@@ -473,7 +473,7 @@ def cosine_topk(spark, sf):
 
 @query(f"with recursive p as (select a, b from (select a.vec_id as a, b.vec_id as b, {_COS} as sim, row_number() over (partition by a.vec_id order by round({_COS}, 9) desc, b.vec_id) as r from embeddings a join embeddings b on a.vec_id <> b.vec_id) where r = 1 and sim >= 0.4)" + _CC.format(p="p") + " select coalesce(component, vec_id) as component, min(vec_id) as vec_id, count(*) as n from embeddings left join c on node = vec_id group by 1")
 def semantic_dedup(spark, sf):
-    return semantic.semantic_dedup(table(spark, sf, "embeddings"), "vec_id", None, "embedding", 0.4)
+    return semantic.semantic_dedup(table(spark, sf, "embeddings"), "vec_id", None, "embedding", 0.4, mode="top1")
 
 
 @query("select label, list(round(v / n, 6) order by i) as pooled from (select label, i, v, sqrt(sum(v * v) over (partition by label)) as n from (select label, i, avg(v) as v from (select label, unnest(embedding::double[]) as v, generate_subscripts(embedding, 1) as i from embeddings) group by label, i)) group by label")

@@ -3,6 +3,7 @@
 import asyncio
 import datetime as dt
 import json
+import math
 import random
 import sys
 import zipfile
@@ -314,6 +315,13 @@ def test_embed_and_semantic_dedup(spark):
     assert sorted((r.i, r.n) for r in keep.collect()) == [(2, 2), (3, 1)]
 
 
+def test_semantic_groups_are_whole(spark):
+    """Two close couples that are near to each other: one group, of which top1 makes two."""
+    df = spark.createDataFrame([(i, [math.cos(a), math.sin(a)]) for i, a in enumerate((0.0, 0.01, 0.1, 0.11))], "i long, v array<double>")
+    assert [(r.i, r.n) for r in semantic.semantic_dedup(df, "i", None, "v").collect()] == [(0, 4)]
+    assert semantic.semantic_dedup(df, "i", None, "v", mode="top1").count() == 2
+
+
 def test_embed_reads_to_the_end(spark):
     """Texts that differ only after the last full window have different vectors."""
     text = " ".join(f"w{i}" for i in range(600))
