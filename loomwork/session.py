@@ -10,16 +10,17 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Arrow batches end at this many bytes, whatever the length of a text (a batch has one row at least).
+_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Make a session ready for this package.
 
-    Python workers get the package, once per application, unless they find it by PYTHONPATH. Arrow batches are of a thousand rows, as
-    ten thousand texts at once cost a worker some hundred MB; a cluster that sets a size of its own keeps it."""
+    Python workers get the package, once per application, unless they find it by PYTHONPATH. Arrow batches are bound by bytes, so that
+    a worker's memory follows neither the number nor the length of texts; a cluster that sets a bound of its own keeps it."""
     if not spark.sparkContext.getConf().contains(_BATCH):
-        spark.conf.set(_BATCH, "1000")
+        spark.conf.set(_BATCH, str(_BATCH_BYTES))
     root = Path(__file__).resolve().parent
     app = spark.sparkContext.applicationId
     on_path = any(p and Path(p).resolve() == root.parent for p in os.environ.get("PYTHONPATH", "").split(os.pathsep))

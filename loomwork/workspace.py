@@ -3,15 +3,22 @@
 Iterative operators cut their lineage by writing a table to the shared folder that the cluster names in
 ``spark.checkpoint.dir``. A local session without that setting gets a temporary folder of its own; a cluster
 without it is an error, as a folder of one machine would be lost with the machine.
+
+Results read the last of these tables, so an operator can't delete them itself. Run it within ``scope``, or call ``close_all`` once
+its results are written.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: list[Workspace] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,6 +39,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_dir(spark)}/loomwork-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        _open.append(self)
 
     def save(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and read it back: its lineage is cut and its size is known to the planner."""
@@ -50,9 +58,30 @@ class Workspace:
     def close(self) -> None:
         """Delete everything; results that read these tables must have been written before."""
         self._delete(self.path)
+        if self in _open:
+            _open.remove(self)
 
     def _delete(self, path: str | None) -> None:
         if path:
             jvm = self.spark.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Whatever operators write in the shared folder within the block is deleted at its end: write the results before."""
+    before = list(_open)
+    try:
+        yield
+    finally:
+        close_all(before)
+
+
+def close_all(but: list[Workspace] = ()) -> None:
+    """Delete every table that operators of this process have written, but for those of the workspaces ``but``."""
+    for ws in [w for w in _open if w not in but]:
+        try:
+            ws.close()
+        except Exception:  # the session that wrote them is gone
+            _open.remove(ws)
