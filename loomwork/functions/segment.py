@@ -9,11 +9,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import split_sentences, word_count
 from loomwork.operators.dedup import dense_ids
+from loomwork.operators.summary import sample_n
+from loomwork.workspace import Workspace
 
 STOPWORDS = frozenset(
     "a about after all also an and any are as at be because been before but by can could did do does for from had has have he her his how i if in into is it its "
@@ -158,7 +160,8 @@ def tile_texts(df: DataFrame, text: str, doc_id: str, segment_id: str | None = "
     rows = tiled(df, text, "__tiles", **params).withColumn("__t", F.when(word_count(text) >= min_words, F.col("__tiles")).otherwise(whole))
     out = rows.withColumn("num_segments", F.coalesce(F.size("__t"), F.lit(0))).select(*df.columns, "num_segments", F.posexplode_outer("__t").alias("segment_index", "x"))
     out = out.select(*df.columns, "num_segments", "segment_index", F.col("x.tile").alias("segment"), F.col("x.depth").alias("depth")).withColumn("word_count", word_count("segment"))
-    return dense_ids(out, [doc_id, "segment_index"], segment_id) if segment_id else out
+    # written once: numbering reads the keys, then joins the numbers
+    return dense_ids(Workspace(df.sparkSession, "tiles").save(out), [doc_id, "segment_index"], segment_id) if segment_id else out
 
 
 def rechunk(text: str | None, limit: int = 512, count: Callable[[str], list] = str.split, join: Callable[[list], str] = " ".join) -> list[str]:
@@ -201,11 +204,41 @@ def rechunked(df: DataFrame, text: str, out: str = "chunks", limit: int = 512, t
     return df.withColumn(out, run(F.col(text)))
 
 
+def _tile_sizes(df: DataFrame, doc: str, text: str, grid: list[dict]) -> DataFrame:
+    """doc, params, words (of each tile): one scan for all parameter sets, in which each text meets each set."""
+    names = [", ".join(f"{k}={v}" for k, v in sorted(p.items())) for p in grid]
+    full = [{"w": 25, "k": 6, "width": 4, "rounds": 2, "policy": "HC"} | p for p in grid]
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series, which: pd.Series) -> pd.Series:
+        return pd.Series([[x["tile"] for x in tiles_of(t, tuple(full[i][k] for k in ("w", "k", "width", "rounds", "policy"))) or []] for t, i in zip(texts, which)], dtype=object)
+
+    each = df.select(F.col(doc).alias("doc"), F.col(text).alias("t"), F.explode(F.array(*[F.lit(i) for i in range(len(grid))])).alias("i"))
+    tiles = each.select("doc", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1).alias("params"), F.explode(run("t", "i")).alias("tile"))
+    return tiles.select("doc", "params", word_count("tile").alias("words"))
+
+
 def tile_grid(df: DataFrame, text: str, doc_id: str, grid: list[dict]) -> DataFrame:
     """One row a parameter set: documents, mean tiles a document, mean and maximum words a tile."""
-    out = None
-    for p in grid:
-        t = tile_texts(df, text, doc_id, None, **p)
-        row = t.groupBy(F.lit(", ".join(f"{k}={v}" for k, v in sorted(p.items()))).alias("params")).agg(F.countDistinct(doc_id).alias("n_docs"), (F.count("*") / F.countDistinct(doc_id)).alias("tiles_doc_mean"), F.avg("word_count").alias("words_mean"), F.max("word_count").alias("words_max"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    t = _tile_sizes(df, doc_id, text, grid)
+    return t.groupBy("params").agg(F.countDistinct("doc").alias("n_docs"), (F.count("*") / F.countDistinct("doc")).alias("tiles_doc_mean"), F.avg("words").alias("words_mean"), F.max("words").alias("words_max"))
+
+
+def sample_size_study(df: DataFrame, text: str, doc_id: str, sizes: list[int], seed: int = 42, **params) -> DataFrame:
+    """One row a sample size: documents, mean tiles a document, mean and maximum words a tile. The samples are nested, the least by a seeded
+    hash of the id, so the largest is tiled once and serves all."""
+    largest = sample_n(df.select(doc_id, text), max(sizes), doc_id, seed)
+    of = Workspace(df.sparkSession, "study").save(_tile_sizes(largest, doc_id, text, [params]).groupBy("doc").agg(F.count("*").alias("tiles"), F.sum("words").alias("words"), F.max("words").alias("most")))
+    ranked = of.withColumn("r", F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("doc").cast("string"))), "doc")))  # no more than the largest sample
+    each = ranked.withColumn("sample_size", F.explode(F.array(*[F.lit(n) for n in sizes]))).filter(F.col("r") <= F.col("sample_size"))
+    return each.groupBy("sample_size").agg(F.count("*").alias("n_docs"), F.avg("tiles").alias("tiles_doc_mean"), (F.sum("words") / F.sum("tiles")).alias("words_mean"), F.max("most").alias("words_max"))
+
+
+def with_edges(df: DataFrame, text: str, out: str, encode: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """``df`` with the edge coherence of each text: the cosine of its first and last sentence."""
+
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else edge_coherence(t, encode) for t in texts], dtype=float)
+
+    return df.withColumn(out, run(F.col(text)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"(?U)\s+"
 HTML_SNIFF = r"(?i)<(?:p|div|br|h[1-6]|table|ul|ol)\b"
-_BLOCKS = {"p", "div", "section", "article", "header", "footer", "li", "ul", "ol", "table", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote"}
+_BLOCKS = {"p", "div", "section", "header", "footer", "li", "ul", "ol", "table", "tr", "h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 def _c(column: str | Column) -> Column:
@@ -88,9 +89,9 @@ def shingles(column: str | Column, n: int = 8) -> Column:
     return F.coalesce(let(words(column), grams), F.array().cast("array<string>"))
 
 
-def windows(array: Column, size: int = 350, stride: int = 300, keep_tail: bool = False) -> Column:
-    """Slices of ``size`` elements every ``stride``. Without ``keep_tail`` an incomplete last one is dropped, unless
-    it is the only one."""
+def windows(array: Column, size: int = 350, stride: int = 300, keep_tail: bool = True) -> Column:
+    """Slices of ``size`` elements every ``stride``; the last one ends with the array and may be shorter. Without ``keep_tail`` (parity
+    with the reference) an incomplete last one is dropped, unless it is the only one."""
 
     def cut(a: Column) -> Column:
         n = F.size(a)
@@ -102,6 +103,8 @@ def windows(array: Column, size: int = 350, stride: int = 300, keep_tail: bool =
 
 
 class _Text(HTMLParser):
+    """Text nodes with a space after each, so that cells and inline elements don't run together."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
@@ -114,28 +117,35 @@ class _Text(HTMLParser):
             self.out.append("\n")
         elif tag in _BLOCKS:
             self.out.append("\n\n")
+        else:
+            self.out.append(" ")
 
     def handle_endtag(self, tag) -> None:
         if tag in ("script", "style"):
             self.skip = max(0, self.skip - 1)
-        elif tag in _BLOCKS:
-            self.out.append("\n\n")
+        self.out.append("\n\n" if tag in _BLOCKS else " ")
+
+    def handle_comment(self, data) -> None:
+        self.out.append(" ")
 
     def handle_data(self, data) -> None:
         if not self.skip:
             self.out.append(data)
 
 
+_CUT_TAG = re.compile(r"<[!/a-zA-Z][^<>]*\Z")
+
+
 def html_text(source: str | None) -> str | None:
-    """Visible text: breaks as line ends, blocks between blank lines, script and style left out."""
+    """Visible text: a space between text nodes, breaks as line ends, blocks between blank lines, script and style left out. Runs of
+    white space within a line become one space. A tag that the end of the source cuts off is dropped."""
     if source is None:
         return None
     p = _Text()
-    p.feed(source)
+    p.feed(_CUT_TAG.sub("", source))
     p.close()
-    lines = ["".join(p.out)][0].replace("\xa0", " ").split("\n")
     out: list[str] = []
-    for line in (" ".join(x.split()) for x in lines):
+    for line in (" ".join(x.split()) for x in "".join(p.out).split("\n")):
         if line or (len(out) > 0 and out[-1] != ""):
             out.append(line)
     return "\n".join(out).strip()
@@ -154,28 +164,40 @@ def lines_of(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return df.select(F.col(doc_id), F.posexplode(F.split(_c(text), r"\r\n|\r|\n")).alias("pos", "raw")).withColumn("line", stripped("raw"))
 
 
-def boilerplate_lines(df: DataFrame, text: str, min_share: float = 0.03, min_len: int = 10, max_len: int = 160, top: int = 1000) -> DataFrame:
-    """line, n, pct_docs: the ``top`` most frequent lines (ties by line) that make up at least ``min_share`` of the number of documents.
+def boilerplate_lines(df: DataFrame, text: str, min_share: float = 0.03, min_len: int = 10, max_len: int = 160, top: int | None = 1000) -> DataFrame:
+    """line, n, pct_docs: the ``top`` most frequent lines (ties by line; None: all) that make up at least ``min_share`` of the number of documents.
 
     Occurrences are counted, a line twice in one document twice. One aggregation by line, combined before the shuffle; the
     number of documents is a one-row cross join."""
     docs = df.agg(F.count("*").alias("n_docs"))
     line = df.select(F.explode(F.split(_c(text), r"\r\n|\r|\n")).alias("raw")).select(stripped("raw").alias("line"))
     counted = line.filter(F.length("line").between(min_len, max_len)).groupBy("line").agg(F.count("*").alias("n"))
-    first = counted.orderBy(F.desc("n"), "line").limit(top)
-    return first.crossJoin(docs).withColumn("pct_docs", F.col("n") / F.col("n_docs")).filter(F.col("pct_docs") >= min_share).select("line", "n", "pct_docs")
+    first = counted.orderBy(F.desc("n"), "line").limit(top) if top else counted
+    return first.crossJoin(F.broadcast(docs)).withColumn("pct_docs", F.col("n") / F.col("n_docs")).filter(F.col("pct_docs") >= min_share).select("line", "n", "pct_docs")
 
 
 def strip_lines(df: DataFrame, text: str, lines: list[str], out: str | None = None) -> DataFrame:
-    """``text`` without lines whose stripped form is listed. The list is bounded (``top`` of ``boilerplate_lines``), so
-    it is a literal set and the text never moves."""
+    """``text`` without lines whose stripped form is listed: a literal hash set, so the text never moves."""
     if not lines:
         return df.withColumn(out or text, _c(text))
-    listed = F.array(*[F.lit(x) for x in lines])
-    kept = F.filter(F.split(_c(text), r"\r\n|\r|\n"), lambda x: ~F.array_contains(listed, stripped(x)))
+    kept = F.filter(F.split(_c(text), r"\r\n|\r|\n"), lambda x: ~stripped(x).isin(lines))
     return df.withColumn(out or text, F.array_join(kept, "\n"))
 
 
+def strip_listed(df: DataFrame, key: str, text: str, lines: DataFrame, out: str, limit: int = 10_000) -> DataFrame:
+    """key, ``out``: ``text`` without lines that are in the column ``line`` of ``lines``. Up to ``limit`` lines make a literal set; more are
+    anti-joined with the lines of the texts, which are then put together again. ``key`` must be unique there.
+
+    All lines of a share s of the documents are at most (mean lines of a document) / s, so the join is for corpora of very long lists."""
+    found = [r.line for r in lines.select("line").limit(limit + 1).collect()]
+    if len(found) <= limit:
+        return strip_lines(df, text, found, out).select(key, out)
+    of = lines_of(df.select(key, text), key, text)
+    left = of.join(lines.select("line"), "line", "left_anti").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "raw"))).alias("__l"))
+    joined = df.select(key, _c(text).isNull().alias("__null")).join(left, key, "left")
+    return joined.select(key, F.when(~F.col("__null"), F.coalesce(F.array_join("__l.raw", "\n"), F.lit(""))).alias(out))
+
+
 _SENTENCE_END = r"(?:(?<=[.!?…])|(?<=[.!?…][\"'”’)\]]))\s+(?=[\"'“‘(\[]*[\p{Lu}\p{N}¿¡])"
 _ABBREVIATION = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|vs|etc|e\.g|i\.e|No|Inc|Ltd|Co|Corp|approx|Fig|al)|\b\p{Lu})\.$"
 
@@ -237,8 +259,6 @@ def inject_breaks(text: str, least: int = 40, most: int = 80) -> str:
 def clean(text: str | None, lines: frozenset[str], caps: float = 0.6, short: int = 5, least: int = 40, most: int = 80, trigger: float = 1.5) -> str | None:
     """A document ready for segmentation: markup and listed lines dropped, paragraphs merged and, where there is one
     only or one is too long, made anew."""
-    import re
-
     if text is None:
         return None
     if re.search(HTML_SNIFF, text):
