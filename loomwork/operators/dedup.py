@@ -5,9 +5,13 @@ Hashes are of md5 prefixes with arithmetic below 2**62, so that any engine can r
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,17 +44,21 @@ def permutations(n: int, seed: int = 1) -> list[tuple[int, int]]:
     return [(r.randrange(1, PRIME), r.randrange(PRIME)) for _ in range(n)]
 
 
+def hashed_shingles(text: str, n: int = 8) -> Column:
+    """The distinct hashed shingles of a text, as one array: without a shuffle."""
+    return F.array_distinct(F.transform(shingles(text, n), lambda s: md5_int(s) % PRIME))
+
+
 def shingle_table(df: DataFrame, doc_id: str, text: str, n: int = 8) -> DataFrame:
-    """doc_id, h: the distinct hashed shingles of each text. Distinct within the row, so without a shuffle."""
-    return df.select(F.col(doc_id).alias("id"), F.explode(F.array_distinct(F.transform(shingles(text, n), lambda s: md5_int(s) % PRIME))).alias("h"))
+    """id, s: the set of hashed shingles of each text that has any."""
+    return df.select(F.col(doc_id).alias("id"), hashed_shingles(text, n).alias("s")).filter(F.size("s") > 0)
 
 
-def minhash_signatures(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n: int = 8, seed: int = 1) -> DataFrame:
-    """id, sig: ``num_perm`` minima of (a h + b) mod p. The explosion is aggregated where it arises: a document's
-    shingles are in one partition, so one row a document reaches the shuffle."""
-    s = shingle_table(df, doc_id, text, n)
+def minhash_signatures(table: DataFrame, num_perm: int = 64, seed: int = 1) -> DataFrame:
+    """id, sig: ``num_perm`` minima of (a h + b) mod p over the sets of ``shingle_table``. The explosion is aggregated where it arises: a
+    document's shingles are in one partition, so one row a document reaches the shuffle."""
     mins = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{i}") for i, (a, b) in enumerate(permutations(num_perm, seed))]
-    return s.groupBy("id").agg(*mins).select("id", F.array(*[f"m{i}" for i in range(num_perm)]).alias("sig"))
+    return table.select("id", F.explode("s").alias("h")).groupBy("id").agg(*mins).select("id", F.array(*[f"m{i}" for i in range(num_perm)]).alias("sig"))
 
 
 def bands(signatures: DataFrame, n_bands: int = 3, rows: int = 21) -> DataFrame:
@@ -81,8 +89,10 @@ def band_pairs(banded: DataFrame, star: bool = False) -> DataFrame:
 
 
 def jaccard_pairs(pairs: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
-    """a, b, jaccard: exact similarity of hashed shingle sets, from ``threshold`` on."""
-    sets = table.groupBy("id").agg(F.collect_set("h").alias("s"))
+    """a, b, jaccard: exact similarity of hashed shingle sets (``table``: id, s), from ``threshold`` on. Sets of documents without a
+    candidate don't move: the table is semi-joined with the candidates before."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = table.join(ends, "id", "left_semi")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
     inter = F.size(F.array_intersect("x", "y"))
     return both.withColumn("i", inter).withColumn("jaccard", F.col("i") / (F.size("x") + F.size("y") - F.col("i"))).filter(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
@@ -96,12 +106,13 @@ def minhash_pairs(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_b
     ``short_text`` "bypass" they match nothing, with "collapse" each other."""
     if n_bands is None or rows is None:
         n_bands, rows = banding(threshold, num_perm)
-    sig = minhash_signatures(df, doc_id, text, num_perm, n)
-    verify = threshold is not None
-    pairs = band_pairs(bands(sig, n_bands, rows), star=not verify)
-    found = jaccard_pairs(pairs, shingle_table(df, doc_id, text, n), threshold) if verify else pairs
+    ws, verify = Workspace(df.sparkSession, "bands"), threshold is not None
+    table = ws.save(shingle_table(df, doc_id, text, n))  # read twice, hashed once
+    pairs = band_pairs(bands(minhash_signatures(table, num_perm), n_bands, rows), star=not verify)
+    found = jaccard_pairs(ws.save(pairs), table, threshold) if verify else pairs
     if short_text == "collapse":
         short = df.filter(F.size(shingles(text, n)) == 0).select(F.col(doc_id).alias("b"))
+        # one row against all
         linked = short.crossJoin(F.broadcast(short.agg(F.min("b").alias("a")))).filter("a < b").select("a", "b")
         found = found.unionByName(linked.withColumn("jaccard", F.lit(1.0)) if verify else linked)
     return found
@@ -113,11 +124,11 @@ def clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def representatives(df: DataFrame, doc_id: str, text: str, labels: DataFrame) -> DataFrame:
-    """component, doc_id, n: the longest text of each component (ties: least id) and its size; documents without a pair
-    are components of one."""
+    """component, doc_id, n: the longest text of each component (ties: least id; a null text is the shortest) and its size; documents
+    without a pair are components of one. Ids are of any type with an order."""
     sized = df.select(F.col(doc_id).alias("node"), F.length(text).alias("len"))
     of = sized.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return of.groupBy("component").agg(F.max_by("node", F.struct("len", -F.col("node"))).alias(doc_id), F.count("*").alias("n"))
+    return of.groupBy("component").agg(F.min_by("node", F.struct(-F.coalesce("len", F.lit(-1)), "node")).alias(doc_id), F.count("*").alias("n"))
 
 
 def simhash_tokens(column: str) -> Column:
@@ -155,14 +166,36 @@ def hamming_pairs(fingerprints: DataFrame, radius: int = 3, blocks: int | None =
     return x.join(y, "key").filter("a < b").withColumn("distance", d).filter(F.col("distance") <= radius).select("a", "b", "distance").distinct()
 
 
-def greedy_keep(nodes: DataFrame, pairs: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def _greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes that fall, of whole components in one partition."""
+    rows = [b for b in batches if b.num_rows]
+    if rows:
+        table = pa.Table.from_batches(rows)
+        lower: dict = {}
+        for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist()):
+            lower.setdefault(b, []).append(a)
+        gone: set = set()
+        for node in sorted(lower):
+            if any(x not in gone for x in lower[node]):
+                gone.add(node)
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(gone), table.schema.field("a").type)], names=["id"])
+
+
+def greedy_keep(nodes: DataFrame, pairs: DataFrame, task_pairs: int = 1_000_000, max_rounds: int = 1000) -> DataFrame:
     """id: nodes in ascending order are kept unless a kept earlier one is their pair (the first maximal independent set).
 
-    By rounds: an undecided node with no smaller undecided neighbour is kept, its neighbours fall. A node without
-    a pair is kept at once and takes no part."""
+    The order is within components only: those of up to ``task_pairs`` pairs are resolved each in one task, many a task. A larger one goes by
+    rounds: an undecided node with no smaller undecided neighbour is kept, its neighbours fall. A node without a pair is kept
+    and takes no part."""
     ws = Workspace(nodes.sparkSession, "greedy")
-    left = ws.save(pairs.select("a", "b").filter("a < b").distinct())
-    dropped = []
+    edges = ws.save(pairs.select("a", "b").filter("a < b").distinct())
+    labels = ws.save(connected_components(edges, "a", "b"))
+    of = ws.save(edges.join(labels.withColumnRenamed("node", "a"), "a").select("a", "b", F.col("component").alias("c")))
+    large = ws.save(of.groupBy("c").agg(F.count("*").alias("n")).filter(F.col("n") > task_pairs).select("c"))
+    kind = edges.schema["a"].dataType.simpleString()
+    small = of.join(large, "c", "left_anti").repartition("c").select("a", "b")
+    dropped = [ws.save(small.mapInArrow(_greedy, f"id {kind}"))]
+    left = ws.save(of.join(large, "c", "left_semi").select("a", "b"))
     for _ in range(max_rounds):
         if left.isEmpty():
             break
@@ -174,10 +207,8 @@ def greedy_keep(nodes: DataFrame, pairs: DataFrame, max_rounds: int = 1000) -> D
         left = ws.save(nxt.select("a", "b"))
     else:
         raise RuntimeError("greedy resolution did not settle")
-    out = nodes.select(F.col(nodes.columns[0]).alias("id"))
-    for d in dropped:
-        out = out.join(d, "id", "left_anti")
-    return out
+    gone = functools.reduce(DataFrame.unionByName, dropped)
+    return nodes.select(F.col(nodes.columns[0]).alias("id")).join(gone, "id", "left_anti")
 
 
 def simhash_dedup(df: DataFrame, doc_id: str, text: str, ngram: int = 4, radius: int = 3, blocks: int | None = None) -> DataFrame:
@@ -186,27 +217,59 @@ def simhash_dedup(df: DataFrame, doc_id: str, text: str, ngram: int = 4, radius:
     return greedy_keep(df.select(F.col(doc_id).alias("id")), hamming_pairs(fp, radius, blocks))
 
 
-def containment_pairs(needles: DataFrame, needle_id: str, needle: str, docs: DataFrame, doc_id: str, text: str, n: int = 4, proper: bool = False) -> DataFrame:
+def _matching(needles: DataFrame, docs: DataFrame, block_chars: int) -> DataFrame:
+    """q, d_id: which of the strings q occur in which texts, by an Aho-Corasick automaton a task. Needles beyond ``block_chars`` characters are split
+    into blocks, each a pass over the texts, so what is sent to a task has that bound."""
+    size = needles.agg(F.coalesce(F.sum(F.length("q")), F.lit(0)).alias("n")).first().n
+    blocks, parts = -(-size // block_chars), []
+    for i in range(blocks):
+        own = needles.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i).select("q").distinct()
+        held = docs.sparkSession.sparkContext.broadcast([r.q for r in own.collect()])
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for q in held.value:
+                automaton.add_word(q, q)
+            automaton.make_automaton()
+            for batch in batches:
+                found = [sorted({q for _, q in automaton.iter(t)}) if t else [] for t in batch.column(1).to_pylist()] if held.value else [[] for _ in range(batch.num_rows)]
+                rows = np.repeat(np.arange(batch.num_rows), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([pa.array([q for x in found for q in x], pa.string()), batch.column(0).take(pa.array(rows))], names=["q", "d_id"])
+
+        parts.append(docs.select("d_id", "t").mapInArrow(run, f"q string, d_id {docs.schema['d_id'].dataType.simpleString()}"))
+    if not parts:
+        return needles.limit(0).select("q").crossJoin(docs.limit(0).select("d_id"))  # nothing by nothing
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def containment_pairs(needles: DataFrame, needle_id: str, needle: str, docs: DataFrame, doc_id: str, text: str, n: int = 4, proper: bool = False, block_chars: int = 4 << 20) -> DataFrame:
     """needle_id, doc_id: texts that contain a needle as a substring, exactly.
 
     A token of the needle that is neither its first nor its last is a whole token of any text that contains it, so
-    both share the needle's anchor, an n-gram of inner tokens chosen by least hash: an equi-join of 8-byte hashes, whose needle side the planner
-    broadcasts while it is small; then ``contains``. Needles of fewer than n + 2 tokens have no anchor and are compared with every text.
-    ``proper``: the text must be longer (for a table against itself)."""
+    both share the needle's anchor: of its n-grams of inner tokens the longest, as long words are rare, or, where there is none, its longest
+    inner token. That is an equi-join of 8-byte hashes, then ``contains``. Needles of one or two tokens have no anchor; an automaton finds them.
+    Empty and null needles are in no text. ``proper``: the text must be longer (for a table against itself)."""
     toks = lambda c: F.split(F.col(c), r"[ \t\n\r\f\x0B]+")
     grams = lambda t: F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(t, i, n), " ")))
     inner = F.slice("nt", F.lit(2), F.size("nt") - 2)
+    starts = F.transform(F.sequence(F.lit(1), F.size(inner) - (n - 1)), lambda i: F.array_join(F.slice(inner, i, n), " "))
+    rarest = F.xxhash64(F.array_max(F.transform(starts, lambda g: F.struct(F.length(g).alias("l"), g.alias("g"))))["g"])
+    longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("l"), x.alias("x"))))["x"]
     q = needles.select(F.col(needle_id).alias("q_id"), F.col(needle).alias("q")).filter(F.length("q") > 0).withColumn("nt", toks("q"))
-    long = q.filter(F.size("nt") >= n + 2).select("q_id", "q", F.array_min(grams(inner)).alias("g"))
-    short = q.filter(F.size("nt") < n + 2).select("q_id", "q")
+    anchored = q.filter(F.size("nt") >= 3).select("q_id", "q", F.when(F.size("nt") >= n + 2, rarest).otherwise(F.xxhash64(longest, F.lit(1))).alias("g"))
+    tiny = q.filter(F.size("nt") < 3).select("q_id", "q")
     d = docs.select(F.col(doc_id).alias("d_id"), F.col(text).alias("t"))
-    listed = d.withColumn("dt", toks("t")).filter(F.size("dt") >= n).select("d_id", F.explode(F.array_distinct(grams(F.col("dt")))).alias("g"))
-    met = listed.join(long.select("q_id", "g"), "g").select("q_id", "d_id").distinct()
-    found = met.join(long.select("q_id", "q"), "q_id").join(d, "d_id").filter(F.col("t").contains(F.col("q")))
-    rest = d.join(F.broadcast(short), F.col("t").contains(F.col("q"))) if needles is not docs else d.join(short, F.col("t").contains(F.col("q")))
-    out = found.select("q_id", "d_id", "q", "t").unionByName(rest.select("q_id", "d_id", "q", "t"))
+    of = F.concat(F.when(F.size("dt") >= n, grams(F.col("dt"))).otherwise(F.array().cast("array<bigint>")), F.transform("dt", lambda x: F.xxhash64(x, F.lit(1))))
+    listed = d.withColumn("dt", toks("t")).select("d_id", F.explode(F.array_distinct(of)).alias("g"))
+    met = listed.join(anchored.select("q_id", "g"), "g").select("q_id", "d_id").distinct()
+    keep = F.lit(True) if not proper else (F.length("t") > F.length("q")) & (F.col("q_id") != F.col("d_id"))
+    found = met.join(anchored.select("q_id", "q"), "q_id").join(d, "d_id").filter(F.col("t").contains(F.col("q"))).filter(keep).select("q_id", "d_id")
+    seen = _matching(tiny, d, block_chars).join(tiny, "q")
     if proper:
-        out = out.filter((F.length("t") > F.length("q")) & (F.col("q_id") != F.col("d_id")))
+        seen = seen.join(d.select("d_id", F.length("t").alias("l")), "d_id").filter((F.col("l") > F.length("q")) & (F.col("q_id") != F.col("d_id")))
+    out = found.unionByName(seen.select("q_id", "d_id"))
     return out.select(F.col("q_id").alias("needle_id"), F.col("d_id").alias("doc_id")).distinct()
 
 
@@ -232,14 +295,35 @@ def cascade(df: DataFrame, doc_id: str, text: str, num_perm: int = 64, n_bands:
 
 
 def dense_ids(df: DataFrame, order: list[str], out: str = "row_id", path: str = "dense") -> DataFrame:
-    """``df`` with a dense id from 0 in the total order of ``order``.
+    """``df`` with a dense id from 0 in the total order of ``order``, nulls first; rows equal there are numbered in any order.
 
-    Two passes and no single-partition window: rows are range-partitioned and sorted, counted by partition, and numbered
-    within it from the partition's offset. The sorted table is written, so both passes see the same partitions."""
+    Only the keys are numbered: counted, range-partitioned and sorted, each partition from the offset of those before it, without a
+    single-partition window. The numbers are joined back (a broadcast while they are few), so other columns move once or not at all.
+    ``df`` is read twice: save it before, where it is dear. Repeated keys are told apart by the hash of the row, which also splits a hot key."""
     ws = Workspace(df.sparkSession, path)
-    placed = ws.save(df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).withColumn("__p", F.spark_partition_id()))
-    sizes = placed.groupBy("__p").agg(F.count("*").alias("__n"))
+    kinds = [f.dataType.simpleString() for f in df.schema.fields]
+    keys = [f"__k{i}" for i in range(len(order))]
+    named = df.select(*[F.col(c).alias(k) for c, k in zip(order, keys)])
+    counts = ws.save(named.groupBy(*keys).agg(F.count("*").alias("__n")))
+    repeated = not counts.filter("__n > 1").isEmpty()
+    if repeated:
+        plain = [F.col(c).cast("string") if k.startswith("map") else F.col(c) for c, k in zip(df.columns, kinds)]
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*plain), F.lit(1024)))
+        keys = [*keys, "__s"]
+        counts = ws.save(salted.select(*[F.col(c).alias(k) for c, k in zip([*order, "__salt"], keys)]).groupBy(*keys).agg(F.count("*").alias("__n")))
+    ascending = [F.col(k).asc_nulls_first() for k in keys]
+    placed = ws.save(counts.repartitionByRange(*ascending).withColumn("__p", F.spark_partition_id()))
     # one row a partition: a window over that few rows is no bottleneck
-    start = ws.save(sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__start")))
-    w = Window.partitionBy("__p").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return placed.withColumn("__r", F.row_number().over(w)).join(start, "__p").withColumn(out, F.col("__start") + F.col("__r") - 1).select(*df.columns, out)
+    sizes = placed.groupBy("__p").agg(F.sum("__n").alias("__m"))
+    start = ws.save(sizes.select("__p", (F.sum("__m").over(Window.orderBy("__p")) - F.col("__m")).alias("__start")))
+    w = Window.partitionBy("__p").orderBy(*ascending)
+    numbered = placed.withColumn("__c", F.sum("__n").over(w) - F.col("__n")).join(start, "__p").select(*keys, (F.col("__start") + F.col("__c")).alias("__id"))
+    if not repeated and set(df.columns) == set(order):
+        return numbered.select(*[F.col(keys[order.index(c)]).alias(c) for c in df.columns], F.col("__id").alias(out))
+    numbered = ws.save(numbered)
+    rows = salted if repeated else df
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip([*order, "__salt"], keys)])
+    joined = rows.join(numbered, same)
+    if repeated:
+        joined = joined.withColumn("__id", F.col("__id") + F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) - 1)
+    return joined.select(*df.columns, F.col("__id").alias(out))

@@ -12,15 +12,18 @@ import json
 import random
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomwork.workspace import Workspace
+
 #: Records that the two classification passes return.
 ASSESSMENT = "is_about boolean, target_code string, subsidiary_code string, is_relevant boolean, stage string, reasoning string"
+REGION = "code string, relevant boolean"
 EXTRACTION = "target string, disposal string, disposal_company string, relevant boolean, interest_score int, rationale string"
 ENRICHMENT = "group_name string, disposal_company string, group_hq string, group_industry string, group_vertical string, disposal_country string, disposal_industry string, disposal_vertical string"
 
@@ -41,11 +44,17 @@ class Limits:
     retries: int = 5
     first_delay: float = 3.0
     jitter: float = 0.2
+    timeout: float | None = 120.0  # seconds of one call; a call beyond it counts as failed and is tried again
+
+    def tasks(self, wanted: int) -> int:
+        """How many of ``wanted`` tasks can run at once if each is to have a request a minute, a token and one call at a time."""
+        return max(1, min(wanted, self.requests_per_minute, self.tokens_per_minute, self.concurrency))
 
     def share(self, tasks: int) -> Limits:
-        """The part of one of ``tasks`` concurrent tasks."""
+        """The part of one of ``tasks`` concurrent tasks, rounded down: together they stay within the limits, if they are no more than
+        ``self.tasks`` allows."""
         n = max(1, tasks)
-        return Limits(max(1, self.requests_per_minute // n), max(1, self.tokens_per_minute // n), max(1, self.concurrency // n), self.retries, self.first_delay, self.jitter)
+        return replace(self, requests_per_minute=max(1, self.requests_per_minute // n), tokens_per_minute=max(1, self.tokens_per_minute // n), concurrency=max(1, self.concurrency // n))
 
 
 class Bucket:
@@ -90,10 +99,11 @@ def retry(f: Callable, attempts: int = 4, first_delay: float = 1.0, jitter: floa
     return run
 
 
-async def call_all(rows: list[dict], client, limits: Limits, estimate: Callable[[dict], int]) -> list[tuple[dict | None, str, int, str | None]]:
+async def call_all(rows: list[dict], client, limits: Limits, estimate: Callable[[dict], int], buckets: tuple[Bucket, Bucket] | None = None) -> list[tuple[dict | None, str, int, str | None]]:
     """(record, status, attempts, error) of each row in order. ``client`` is an async function of a row that returns a
-    record, or a record and the number of requests the provider still allows, which widens or narrows the concurrency."""
-    requests, tokens_ = Bucket(limits.requests_per_minute), Bucket(limits.tokens_per_minute)
+    record, or a record and the number of requests the provider still allows, which widens or narrows the concurrency. ``buckets`` of requests
+    and tokens outlive the call, so that a task that calls for one batch after another keeps to its limits over all of them."""
+    requests, tokens_ = buckets or (Bucket(limits.requests_per_minute), Bucket(limits.tokens_per_minute))
     gate, out, width = asyncio.Condition(), [None] * len(rows), [limits.concurrency]
     running = [0]
 
@@ -108,7 +118,7 @@ async def call_all(rows: list[dict], client, limits: Limits, estimate: Callable[
                 try:
                     await requests.take(1)
                     await tokens_.take(estimate(rows[i]))
-                    got = await client(rows[i])
+                    got = await asyncio.wait_for(client(rows[i]), limits.timeout)
                     if isinstance(got, tuple):
                         got, remaining = got
                         width[0] = max(1, min(limits.concurrency, remaining))
@@ -133,9 +143,10 @@ def map_rows(df: DataFrame, make_client: Callable[[], Callable], schema: str, ke
     """key, kept columns, the fields of ``schema``, status, attempts, error: one row for each row of ``df``.
 
     ``columns`` renames columns to the input names of the client; ``constants`` are added, and current_date. The
-    job runs in ``tasks`` partitions (default: as many as the cluster runs at once), each with its share of the limits."""
+    job runs in ``tasks`` partitions (default: as many as the cluster runs at once), but no more than the limits can be shared among, each
+    with its share of them."""
     spark = df.sparkSession
-    tasks = tasks or spark.sparkContext.defaultParallelism
+    tasks = limits.tasks(tasks or spark.sparkContext.defaultParallelism)
     own = limits.share(tasks)
     estimate = estimate or (lambda row: sum(len(str(v)) for v in row.values()) // 4 + 1)
     names = columns or {c: c for c in df.columns if c != key}
@@ -145,12 +156,12 @@ def map_rows(df: DataFrame, make_client: Callable[[], Callable], schema: str, ke
     fields = [T.StructField(key, kinds[key])] + [T.StructField(b, kinds[a]) for a, b in keep.items()] + record.fields + [T.StructField("status", T.StringType()), T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = make_client()
+        client, buckets = make_client(), (Bucket(own.requests_per_minute), Bucket(own.tokens_per_minute))
         for pdf in batches:
             raw = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
             today = time.strftime("%Y-%m-%d")
             rows = [{b: r[a] for a, b in names.items()} | {"current_date": today, key: r[key]} | constants for r in raw]
-            got = asyncio.run(call_all(rows, client, own, estimate))
+            got = asyncio.run(call_all(rows, client, own, estimate, buckets))
             out = []
             for r, (rec, status, attempts, error) in zip(raw, got):
                 rec = rec.model_dump() if hasattr(rec, "model_dump") else (rec or {})
@@ -163,20 +174,38 @@ def map_rows(df: DataFrame, make_client: Callable[[], Callable], schema: str, ke
 
 def map_resumable(df: DataFrame, path: str, make_client, schema: str, key: str, chunk: int = 5000, **params) -> DataFrame:
     """``map_rows`` with results appended to Parquet under ``path``, chunk by chunk; rows already there with status ok are
-    not called again. Returns the results of the rows of ``df``."""
-    spark = df.sparkSession
+    not called again. Returns the results of the rows of ``df``. The rows to call are written once, a folder a chunk, so a chunk reads itself alone."""
+    spark, ws = df.sparkSession, Workspace(df.sparkSession, "calls")
     done = _done(spark, path, key)
     left = df if done is None else df.join(done, key, "left_anti")
     n = left.count()
     parts = max(1, -(-n // chunk))
-    for i in range(parts if n else 0):
-        part = left.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i) if parts > 1 else left
-        map_rows(part, make_client, schema, key, **params).write.mode("append").parquet(path)
-    found = spark.read.parquet(path).join(df.select(key), key, "left_semi")
+    if n:
+        left.withColumn("__chunk", F.pmod(F.xxhash64(key), F.lit(parts))).repartition("__chunk").write.partitionBy("__chunk").parquet(f"{ws.path}/rows")
+        waiting = spark.read.schema(T.StructType([*left.schema.fields, T.StructField("__chunk", T.LongType())])).parquet(f"{ws.path}/rows")
+        for i in range(parts):
+            map_rows(waiting.filter(F.col("__chunk") == i).drop("__chunk"), make_client, schema, key, **params).write.mode("append").parquet(path)
+    ws.close()
+    found = spark.read.parquet(path).join(df.select(key), key, "left_semi") if n or done is not None else map_rows(df.limit(0), make_client, schema, key, **params)
     best = found.groupBy(key).agg(F.max_by(F.struct(*[c for c in found.columns if c != key]), F.struct(F.col("status") == "ok", F.col("attempts"))).alias("r"))
     return best.select(key, "r.*")
 
 
+def searching(make_search: Callable[[], Callable], make_client: Callable[[], Callable], query: str = "query", into: str = "search_results") -> Callable[[], Callable]:
+    """A client that searches the web first: the ``query`` field of a row goes to an injected search, whose answer joins the row as
+    ``into`` before the model is called. An error of either is an error of the call."""
+
+    def make() -> Callable:
+        search, client = make_search(), make_client()
+
+        async def call(row: dict):
+            return await client(row | {into: await search(row.get(query))})
+
+        return call
+
+    return make
+
+
 def _done(spark: SparkSession, path: str, key: str) -> DataFrame | None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.operators.dedup import dense_ids
+
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exactly these columns in this order; a missing one is an error."""
@@ -60,6 +62,15 @@ def inner_results(df: DataFrame, results: DataFrame, key: str, suffixes: tuple[s
     return df.withColumnsRenamed({c: c + suffixes[0] for c in both}).join(results.withColumnsRenamed({c: c + suffixes[1] for c in both}), key)
 
 
+def positional(df: DataFrame, results: DataFrame, order: list[str], results_order: list[str]) -> DataFrame:
+    """All rows of ``df`` with the result of the same position: rows have none in Spark, so each table names the columns that order it."""
+    if not order or not results_order:
+        raise ValueError("a join by position needs the columns that order both tables")
+    left, right = dense_ids(df, order, "__pos"), dense_ids(results, results_order, "__pos")
+    both = [c for c in results.columns if c in df.columns]
+    return left.join(right.drop(*both), "__pos", "left").drop("__pos")
+
+
 def in_both(df: DataFrame, other: DataFrame, key: str, keep: bool = True) -> DataFrame:
     return df.join(other.select(key), key, "left_semi" if keep else "left_anti")
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwork.functions.text import tokens, windows
 from loomwork.operators.dedup import representatives
@@ -44,15 +45,16 @@ def embed(df: DataFrame, doc_id: str, text: str, encoder: Callable[[], Callable[
 
 
 def hashed_encoder(dims: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray]]:
-    """A deterministic stand-in for a model: hashed word counts. For tests; its vectors are no model output."""
-    import zlib
+    """A deterministic stand-in for a model: hashed word counts, by md5, so that any engine can repeat them. For tests; its vectors are no
+    model output."""
+    import hashlib
 
     def make():
         def encode(texts: list[str]) -> np.ndarray:
             out = np.zeros((len(texts), dims))
             for i, t in enumerate(texts):
-                for w in t.lower().split():
-                    h = zlib.crc32(w.encode())
+                for w in t.split():
+                    h = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
                     out[i, h % dims] += 1 if h & 0x80000000 else -1
             return out
 
@@ -61,63 +63,62 @@ def hashed_encoder(dims: int = 64) -> Callable[[], Callable[[list[str]], np.ndar
     return make
 
 
-def _blocked(df: DataFrame, vec_id: str, vector: str, blocks: int | None) -> tuple[DataFrame, int]:
+def _vectors(df: DataFrame, vec_id: str, vector: str, blocks: int | None) -> tuple[DataFrame, int]:
     """id, v, b (the block), and the number of blocks: by default so many that a block holds about 20,000 vectors."""
-    base = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null")
-    blocks = blocks or max(4, -(-df.count() // 20_000))
+    base = df.select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("v is not null")
+    blocks = blocks or max(1, -(-base.count() // 20_000))
     return base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), blocks
 
 
-def cosine_topk(df: DataFrame, vec_id: str, vector: str, k: int = 1, threshold: float = -1.0, blocks: int | None = None) -> DataFrame:
-    """id, neighbour, similarity: the k nearest others of every row by exact cosine, ties to the least id.
+def _unit(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors, without zero vectors."""
+    m = np.stack(rows.v.to_list()) if len(rows) else np.zeros((0, 1))
+    n = np.linalg.norm(m, axis=1)
+    return rows.id.to_numpy()[n > 0], m[n > 0] / n[n > 0][:, None]
 
-    Rows fall into blocks by hash; each pair of blocks is one task's matrix product, and a row is sent to ``blocks`` of them, so the shuffle
-    grows with blocks and a task's memory with 1 / blocks. Each task returns k candidates a row. Zero and null vectors are left out."""
-    base, blocks = _blocked(df, vec_id, vector, blocks)
-    as_query = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.col("b").alias("x"), F.col("o").alias("y"), "id", "v", F.lit(True).alias("q"))
-    as_other = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.col("o").alias("x"), F.col("b").alias("y"), "id", "v", F.lit(False).alias("q"))
+
+def cosine_topk(df: DataFrame, vec_id: str, vector: str, k: int = 1, threshold: float = -1.0, blocks: int | None = None, queries: DataFrame | None = None) -> DataFrame:
+    """id, neighbour, similarity, rank: the k nearest others of every row of ``queries`` (default: the table itself) by exact cosine, ties
+    to the least id.
+
+    This is the exact search: the work is queries times rows. Both sides fall into blocks by hash; each pair of blocks is one task's matrix
+    product, so a task's memory is bound by the blocks (about 20,000 vectors each) and the shuffle sends each row once to every block
+    of queries. Each task returns k candidates a query. Zero and null vectors are left out."""
+    base, blocks = _vectors(df, vec_id, vector, blocks if queries is not None else blocks or max(4, -(-df.count() // 20_000)))
+    asked, asking = _vectors(queries, vec_id, vector, None) if queries is not None else (base, blocks)
+    as_query = asked.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.col("b").alias("x"), F.col("o").alias("y"), "id", "v", F.lit(True).alias("q"))
+    as_other = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(asking - 1)))).select(F.col("o").alias("x"), F.col("b").alias("y"), "id", "v", F.lit(False).alias("q"))
+    kind = base.schema["id"].dataType
 
     def best(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for side in (True, False):
-            r = rows[rows.q == side].sort_values("id")
-            m = np.stack(r.v.to_list()) if len(r) else np.zeros((0, 1))
-            n = np.linalg.norm(m, axis=1)
-            parts.append((r.id.to_numpy()[n > 0], (m[n > 0] / n[n > 0][:, None])))
-        (a, x), (b, y) = parts
-        out = []
-        for i in range(0, len(a), 2048):
-            if not len(b):
-                break
+        (a, x), (b, y) = (_unit(rows[rows.q == side].sort_values("id", kind="stable")) for side in (True, False))
+        out = [pd.DataFrame({"id": a[:0], "neighbour": b[:0], "similarity": pd.Series(dtype=float)})]
+        for i in range(0, len(a) if len(b) else 0, 2048):
             # rounded, so that equal vectors tie whatever the block sizes
             s = np.round(x[i : i + 2048] @ y.T, 9)
             s[a[i : i + 2048][:, None] == b[None, :]] = -np.inf
             top = np.argsort(-s, axis=1, kind="stable")[:, :k]
             sim = np.take_along_axis(s, top, axis=1)
-            keep = np.isfinite(sim) & (sim >= threshold)
-            out.append(pd.DataFrame({"id": np.repeat(a[i : i + 2048], top.shape[1])[keep.ravel()], "neighbour": b[top].ravel()[keep.ravel()], "similarity": sim.ravel()[keep.ravel()]}))
-        return pd.concat(out) if out else pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "similarity": pd.Series(dtype=float)})
+            keep = (np.isfinite(sim) & (sim >= threshold)).ravel()
+            out.append(pd.DataFrame({"id": np.repeat(a[i : i + 2048], top.shape[1])[keep], "neighbour": b[top].ravel()[keep], "similarity": sim.ravel()[keep]}))
+        return pd.concat(out)
 
-    found = as_query.unionByName(as_other).groupBy("x", "y").applyInPandas(best, "id long, neighbour long, similarity double")
+    schema = T.StructType([T.StructField("id", kind), T.StructField("neighbour", kind), T.StructField("similarity", T.DoubleType())])
+    found = as_query.unionByName(as_other).groupBy("x", "y").applyInPandas(best, schema)
     w = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def cosine_pairs(df: DataFrame, vec_id: str, vector: str, threshold: float, blocks: int | None = None) -> DataFrame:
     """a < b, similarity: all pairs from ``threshold`` on, exactly, by blocks."""
-    base, blocks = _blocked(df, vec_id, vector, blocks)
+    base, blocks = _vectors(df, vec_id, vector, blocks or max(4, -(-df.count() // 20_000)))
     spread = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "id", "v", "b")
+    kind = base.schema["id"].dataType
 
     def near(rows: pd.DataFrame) -> pd.DataFrame:
         x, y = int(rows.x.iloc[0]), int(rows.y.iloc[0])
-        parts = []
-        for blk in (x, y):
-            r = rows[rows.b == blk]
-            m = np.stack(r.v.to_list()) if len(r) else np.zeros((0, 1))
-            n = np.linalg.norm(m, axis=1)
-            parts.append((r.id.to_numpy()[n > 0], m[n > 0] / n[n > 0][:, None]))
-        (a, p), (b, q) = parts
-        out = [pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "similarity": pd.Series(dtype=float)})]
+        (a, p), (b, q) = (_unit(rows[rows.b == blk]) for blk in (x, y))
+        out = [pd.DataFrame({"a": a[:0], "b": b[:0], "similarity": pd.Series(dtype=float)})]
         for i in range(0, len(a) if len(b) else 0, 2048):
             s = np.round(p[i : i + 2048] @ q.T, 9)
             r, c = np.nonzero(s >= threshold)
@@ -126,7 +127,7 @@ def cosine_pairs(df: DataFrame, vec_id: str, vector: str, threshold: float, bloc
             out.append(pd.DataFrame({"a": np.minimum(u, v)[ok], "b": np.maximum(u, v)[ok], "similarity": s[r, c][ok]}))
         return pd.concat(out)
 
-    return spread.groupBy("x", "y").applyInPandas(near, "a long, b long, similarity double")
+    return spread.groupBy("x", "y").applyInPandas(near, T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())]))
 
 
 def semantic_dedup(df: DataFrame, doc_id: str, text: str, vector: str, threshold: float = 0.95, mode: str = "all_pairs", blocks: int | None = None) -> DataFrame:

@@ -12,12 +12,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def mode_by(df: DataFrame, key: str, column: str, out: str) -> DataFrame:
-    """The most frequent value of each group, ties to the least; null where a group has none. Two aggregations that combine
-    before the shuffle, whatever the size of a group."""
+    """The most frequent value of each group, ties to the least; null where a group has none. Two aggregations of one scan, each combined
+    before its shuffle, whatever the size of a group."""
     counted = df.groupBy(key, column).agg(F.count(column).alias("n"))
-    best = F.max_by(F.col(column), F.struct(F.col("n"), F.col("__o"))).alias(out)
-    ranked = counted.withColumn("__o", -F.dense_rank().over(Window.partitionBy(key).orderBy(column))).filter("n > 0")
-    return counted.select(key).distinct().join(ranked.groupBy(key).agg(best), key, "left")
+    return counted.groupBy(key).agg(F.min_by(F.col(column), F.struct(-F.col("n"), F.col(column))).alias(out))
 
 
 def set_concat_of(distinct: Column, max_items: int | None = None, max_chars: int | None = None) -> Column:
@@ -29,28 +27,55 @@ def set_concat_of(distinct: Column, max_items: int | None = None, max_chars: int
     return F.when(F.length(text) > max_chars, F.concat(F.substring(text, 1, max_chars), F.lit("..."))).otherwise(text) if max_chars else text
 
 
+def _joined(items: Column, n: Column, max_items: int | None, max_chars: int | None) -> Column:
+    """``set_concat_of`` for the first items of a list of n."""
+    text = F.array_join(items, " | ")
+    if max_items:
+        text = F.when(n > max_items, F.concat(text, F.lit(" (+ "), (n - max_items).cast("string"), F.lit(" more)"))).otherwise(text)
+    return F.when(F.length(text) > max_chars, F.concat(F.substring(text, 1, max_chars), F.lit("..."))).otherwise(text) if max_chars else text
+
+
+def _distinct_lists(values: DataFrame, keys: list[str], max_items: int | None) -> DataFrame:
+    """keys, __l (the distinct values v in the order of their first place p, no more than ``max_items``), __n (how many there are).
+
+    A group's values are never gathered whole where a number is given: a row number that is limited before the shuffle leaves the first."""
+    first = values.filter("v is not null").groupBy(*keys, "v").agg(F.min("p").alias("p"))
+    counts = first.groupBy(*keys).agg(F.count("*").alias("__n"))
+    if max_items:
+        w = Window.partitionBy(*keys).orderBy("p", "v")
+        first = first.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_items)
+    lists = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("__l"))
+    return counts.join(lists, keys).select(*keys, F.col("__l.v").alias("__l"), "__n")
+
+
 def set_concat(df: DataFrame, key: str, column: str, order: str, out: str, max_items: int | None = None, max_chars: int | None = None) -> DataFrame:
     """Distinct non-null values of each group in the order they first occur (by ``order``), joined. Values are made distinct
-    before they are gathered, so a group's list is as long as its distinct values."""
-    first = df.filter(F.col(column).isNotNull()).groupBy(key, F.col(column).cast("string").alias("__v")).agg(F.min(order).alias("__p"))
-    lists = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__p", "__v"))).alias("__l"))
-    joined = df.select(key).distinct().join(lists, key, "left")
-    return joined.select(key, F.coalesce(set_concat_of(F.col("__l.__v"), max_items, max_chars), F.lit("")).alias(out))
+    before they are gathered, and no more of them than are shown."""
+    values = df.select(F.col(key), F.col(column).cast("string").alias("v"), F.col(order).alias("p"))
+    joined = df.select(key).distinct().join(_distinct_lists(values, [key], max_items), key, "left")
+    return joined.select(key, F.coalesce(_joined(F.col("__l"), F.col("__n"), max_items, max_chars), F.lit("")).alias(out))
 
 
 def summarise(df: DataFrame, key: str, order: str, modes: list[str] = (), sets: dict[str, tuple[int | None, int | None]] | None = None, mins: list[str] = (), means: list[str] = ()) -> DataFrame:
     """One row a key: modes, ordered set concatenations, minima and means (two decimals, half to even). Null keys are dropped; columns that
-    ``df`` has not are left out."""
+    ``df`` has not are left out. Modes are of values as strings, ties to the least.
+
+    Modes and sets of all columns share one unpivoted table (key, column, value), counted before it moves, and not a join a column."""
     have = set(df.columns)
+    modes, sets = [c for c in modes if c in have], {c: x for c, x in (sets or {}).items() if c in have}
     rows = df.filter(F.col(key).isNotNull())
     plain = [F.min(c).alias(c) for c in mins if c in have] + [F.bround(F.avg(c), 2).alias(c) for c in means if c in have]
     out = rows.groupBy(key).agg(*(plain or [F.count("*").alias("n")]))
-    for c in modes:
-        if c in have:
-            out = out.join(mode_by(rows, key, c, c), key, "left")
-    for c, (items, chars) in (sets or {}).items():
-        if c in have:
-            out = out.join(set_concat(rows, key, c, order, c, items, chars), key, "left")
+    long = lambda names: rows.select(key, F.col(order).alias("p"), F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in names])).alias("x")).select(key, "p", "x.c", "x.v")
+    if modes:
+        counted = long(modes).groupBy(key, "c", "v").agg(F.count("v").alias("n"))
+        best = counted.groupBy(key).agg(*[F.min_by(F.when(F.col("c") == c, F.col("v")), F.when(F.col("c") == c, F.struct(-F.col("n"), F.col("v")))).alias(c) for c in modes])
+        out = out.join(best, key, "left")
+    for items in dict.fromkeys(x for x, _ in sets.values()):
+        own = {c: x for c, x in sets.items() if x[0] == items}
+        lists = _distinct_lists(long(list(own)), [key, "c"], items)
+        wide = lists.groupBy(key).agg(*[F.max(F.when(F.col("c") == c, _joined(F.col("__l"), F.col("__n"), *x))).alias(c) for c, x in own.items()])
+        out = out.join(wide, key, "left").fillna("", list(own))
     return out
 
 
@@ -103,16 +128,15 @@ def interest_score(stage: Column, signal: Column) -> Column:
 
 
 def latest_per_key(df: DataFrame, key: str, date: str, tie: str) -> DataFrame:
-    """The row of greatest date of each key (null dates last, then least ``tie``); null keys form one group. An aggregation,
-    not a window: rows of a key combine before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*rest), F.struct(F.col(date).isNotNull(), F.col(date), -F.col(tie))).alias("r")
-    return df.groupBy(key).agg(best).select(key, *[F.col(f"r.{c}") for c in rest]).select(*df.columns)
+    """The row of greatest date of each key (null dates last, then least ``tie``, whatever its type); null keys form one group. The row number is
+    limited before the shuffle, so a partition sends one row a key."""
+    w = Window.partitionBy(key).orderBy(F.col(date).desc_nulls_last(), F.col(tie).asc_nulls_last())
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly n rows (or all), by a seeded hash of the key: the same rows whatever the partitions."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """Exactly n rows (or all), by a seeded md5 of the key: the same rows whatever the partitions."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 def sample_halves(df: DataFrame, length: str, n: int, key: str, seed: int = 42) -> DataFrame:

@@ -20,12 +20,12 @@ from loomwork.sources.files import complete, write_partitioned
 
 
 def preprocess(articles: DataFrame, sample: int | None = None) -> DataFrame:
-    """Times and codes in order, boilerplate lines dropped, text cleaned: column body_cleaned. The lines are an aggregate of the corpus (at most
-    a thousand), collected before the clean-up of each document."""
+    """Times and codes in order, boilerplate lines dropped, text cleaned: column body_cleaned. The lines are an aggregate of the corpus, all
+    of the share, and no more than (mean lines of a document) / share; they are collected before the clean-up of each document."""
     df = sample_n(articles, sample, "an") if sample else articles
     df = date_parts(epoch_columns(df, ["publication_datetime", "ingestion_datetime", "modification_date"]), "publication_datetime")
     df = df.withColumn("company_codes", code_union(*[c for c in df.columns if c == "company_codes" or c.startswith("company_codes_")]))
-    lines = [r.line for r in boilerplate_lines(df, "body").collect()]
+    lines = [r.line for r in boilerplate_lines(df, "body", top=None).collect()]
     return cleaned(df, "body", "body_cleaned", lines)
 
 
