@@ -59,19 +59,19 @@ def dedup_stats(spark, sf):
 # ---- text ----
 
 LINES = f"select doc_id, pos, {STRIP % 'raw'} as line from (select doc_id, unnest(l) as raw, generate_subscripts(l, 1) as pos from (select doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') as l from documents))"
-BOILER = f"with l as ({LINES}), c as (select line, count(*) as n from l where length(line) between 10 and 160 group by line order by n desc, line limit 1000), b as (select line, n, n / (select count(*) from documents) as pct_docs from c where n / (select count(*) from documents) >= 0.03)"
+BOILER = f"with l as ({LINES}), c as (select line, count(*) as n from l where length(line) between 10 and 160 group by line %s), b as (select line, n, n / (select count(*) from documents) as pct_docs from c where n / (select count(*) from documents) >= 0.03)"
 
 
-@query(BOILER + " select * from b")
+@query(BOILER % "order by n desc, line limit 1000" + " select * from b")
 def boilerplate_lines(spark, sf):
     return t.boilerplate_lines(spread(spark, sf, "documents", "doc_id", "text"), "text")
 
 
-@query(BOILER + rf", r as (select doc_id, string_agg(raw, chr(10) order by pos) as x from (select doc_id, unnest(l) as raw, generate_subscripts(l, 1) as pos from (select doc_id, string_split_regex(text, '\r\n|\r|\n') as l from documents)) where {STRIP % 'raw'} not in (select line from b) group by doc_id) select d.doc_id, regexp_replace({STRIP % "coalesce(x, '')"}, '\n{{3,}}', chr(10) || chr(10), 'g') as cleaned from documents d left join r using (doc_id)")
+@query(BOILER % "" + rf", r as (select doc_id, string_agg(raw, chr(10) order by pos) as x from (select doc_id, unnest(l) as raw, generate_subscripts(l, 1) as pos from (select doc_id, string_split_regex(text, '\r\n|\r|\n') as l from documents)) where {STRIP % 'raw'} not in (select line from b) group by doc_id) select d.doc_id, regexp_replace({STRIP % "coalesce(x, '')"}, '\n{{3,}}', chr(10) || chr(10), 'g') as cleaned from documents d left join r using (doc_id)")
 def strip_boilerplate(spark, sf):
     docs = spread(spark, sf, "documents", "doc_id", "text")
-    lines = [r.line for r in t.boilerplate_lines(docs, "text").collect()]
-    return t.strip_lines(docs, "text", lines, "x").select("doc_id", t.newlines("x").alias("cleaned"))
+    lines = t.boilerplate_lines(docs, "text", top=None)
+    return t.strip_listed(docs, "doc_id", "text", lines, "x").select("doc_id", t.newlines("x").alias("cleaned"))
 
 
 @query(rf"select doc_id, len(regexp_extract_all(translate(regexp_replace(text, '<[^>]+>', ' ', 'g'), '‐‑‒–—/- ', '        '), '[A-Za-z0-9]+(?:''[A-Za-z0-9]+)?')) as words, len(regexp_extract_all(text, '{WORD}+')) as simple_words from documents")
@@ -90,7 +90,26 @@ def html_sniff(spark, sf):
     return table(spark, sf, "pages").select("page_id", t.looks_like_html("html").alias("is_html"))
 
 
-@query()
+def _html_sql() -> str:
+    x = "regexp_replace(html, '<[!/a-zA-Z][^<>]*$', '')"
+    for find, put in (
+        ("(?s)<!--.*?(-->|$)", "' '"),
+        (r"(?is)<script\b.*?(</script[^>]*>|$)", "' '"),
+        (r"(?is)<style\b.*?(</style[^>]*>|$)", "' '"),
+        (r"(?i)<br\b[^>]*>", "chr(10)"),
+        (r"(?i)</?(p|div|section|header|footer|li|ul|ol|table|tr|h[1-6])\b[^>]*>", "chr(10) || chr(10)"),
+        ("<[!/a-zA-Z][^>]*>", "' '"),
+        ("&copy;", "'©'"), ("&middot;", "'·'"), ("&quot;", "'\"'"), ("&amp;?", "'&'"),
+        (r"[ \t\r\f\v\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+", "' '"),
+        (r" *\n *", "chr(10)"),
+        (r"\n{3,}", "chr(10) || chr(10)"),
+        (r"^\s+|\s+$", "''"),
+    ):
+        x = f"regexp_replace({x}, '{find}', {put}, 'g')"
+    return f"select page_id, {x} as text from pages"
+
+
+@query(_html_sql())
 def html_to_text(spark, sf):
     return spread(spark, sf, "pages", "page_id", "html").select("page_id", t.html_to_text("html").alias("text"))
 
@@ -347,9 +366,9 @@ def stats_by_parameter(spark, sf):
     return got.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
-@query("select o_orderkey, o_totalprice, o_orderdate from orders order by o_totalprice desc, o_orderdate desc, o_orderkey limit 100")
+@query("select o_orderkey, o_totalprice, o_orderdate from orders order by o_totalprice desc, o_orderdate desc, o_orderkey")
 def ranked_export(spark, sf):
-    return s.ranked(table(spark, sf, "orders"), "o_totalprice", "o_orderdate", "o_orderkey").select("o_orderkey", "o_totalprice", "o_orderdate").limit(100)
+    return s.ranked(table(spark, sf, "orders"), "o_totalprice", "o_orderdate", "o_orderkey").select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
 @query("select distinct lang from documents")
@@ -367,87 +386,177 @@ def interest_score(spark, sf):
     return table(spark, sf, "labels").select("doc_id", s.interest_score(F.col("quality") * 4 + 1, F.col("toxic") * 4 + 1).alias("score"))
 
 
-@query()
+@query("select doc_id, lang from documents order by md5('42:' || doc_id), doc_id limit 100")
 def seeded_sample(spark, sf):
     return s.sample_n(table(spark, sf, "documents").select("doc_id", "lang"), 100, "doc_id")
 
 
+@query("select a.doc_id, a.source, b.quality from (select *, row_number() over (order by doc_id) as r from documents) a left join (select *, row_number() over (order by doc_id) as r from labels) b using (r)")
+def positional_join(spark, sf):
+    return rel.positional(table(spark, sf, "documents").select("doc_id", "source"), table(spark, sf, "labels").select("doc_id", "quality"), ["doc_id"], ["doc_id"])
+
+
+#: The sixteen aggregates of an entity: columns of lineitem in its place, as both engines write them.
+_MODES = {"m1": "l_returnflag", "m2": "l_linestatus", "m3": "cast(year(l_shipdate) as string)", "m4": "cast(l_partkey % 7 as string)", "m5": "case when l_linenumber > 6 then cast(l_orderkey % 5 as string) end"}
+_SETS = {
+    "s1": ("cast(l_partkey as string)", 4, None), "s2": ("cast(l_orderkey as string)", 4, None), "s3": ("cast(cast(l_shipdate as date) as string)", 4, None),
+    "s4": ("l_returnflag", 4, None), "s5": ("l_linestatus", 4, None), "s6": ("case when l_linenumber > 6 then cast(l_partkey as string) end", 4, None), "s7": ("cast(l_linenumber as string)", 4, None),
+    "s8": ("cast(l_partkey % 9 as string)", 4, None), "s9": ("cast(l_partkey as string)", 40, 60),
+}
+
+
+def _entity_sql() -> str:
+    base = "b as (select l_suppkey as entity, l_orderkey * 10 + l_linenumber as pos, l_quantity as score, cast(cast(l_shipdate as date) as string) as first_date, " + ", ".join(f"{e} as {c}" for c, e in [*_MODES.items(), *((c, x[0]) for c, x in _SETS.items())]) + " from lineitem)"
+    parts = [f"{c}_ as (select entity, arg_min({c}, r) as {c} from (select entity, {c}, row_number() over (partition by entity order by count({c}) desc, {c} nulls last) as r from b group by entity, {c}) group by entity)" for c in _MODES]
+    for c, (_, items, chars) in _SETS.items():
+        x = f"case when len(l) > {items} then array_to_string(l[1:{items}], ' | ') || ' (+ ' || (len(l) - {items}) || ' more)' else array_to_string(l, ' | ') end"
+        cut = f"case when length(x) > {chars} then substr(x, 1, {chars}) || '...' else x end" if chars else "x"
+        parts.append(f"{c}_ as (select entity, {cut} as {c} from (select entity, {x} as x from (select entity, list({c} order by f, {c}) as l from (select entity, {c}, min(pos) as f from b where {c} is not null group by all) group by entity)))")
+    names = [*_MODES, *_SETS]
+    shown = ", ".join([*(f"any_value({c}_.{c}) as {c}" for c in _MODES), *(f"coalesce(any_value({c}_.{c}), '') as {c}" for c in _SETS)])
+    return "with " + ", ".join([base, *parts]) + f" select b.entity, min(first_date) as first_date, round_even(avg(score), 2) as score, {shown} from b " + " ".join(f"left join {c}_ on {c}_.entity = b.entity" for c in names) + " group by b.entity"
+
+
+@query(_entity_sql())
+def entity_summary(spark, sf):
+    shown = [F.expr(e).alias(c) for c, e in [*_MODES.items(), *((c, x[0]) for c, x in _SETS.items())]]
+    base = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("entity"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), F.col("l_quantity").alias("score"), F.to_date("l_shipdate").cast("string").alias("first_date"), *shown)
+    return s.summarise(base, "entity", "pos", modes=list(_MODES), sets={c: x[1:] for c, x in _SETS.items()}, mins=["first_date"], means=["score"])
+
+
 # ---- shingles, MinHash, SimHash, containment ----
 
-_WORDS = rf"(select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}_\p{{M}}]+'), lambda x: x <> '') as w from documents)"
+_WORDS = rf"(select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}_\p{{M}}]+'), lambda x: x <> '') as w from %s)"
 _SHINGLES = f"(select doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(list_slice(w, i, i + 7), ' '))) as s from {_WORDS})"
 _H = "('0x' || substr(md5({x}), {a}, 8))::bigint"
 
 
-def _shingle_sql() -> str:
-    return f"select distinct doc_id as id, {_H.format(x='s', a=1)} % {dedup.PRIME} as h from {_SHINGLES}"
-
-
-@query(f"select doc_id, count(*) as n, count(distinct s) as n_distinct, min(s) as least from {_SHINGLES} group by doc_id")
+@query(f"select doc_id, count(*) as n, count(distinct s) as n_distinct, min(s) as least from {_SHINGLES % 'documents'} group by doc_id")
 def shingles(spark, sf):
     d = spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.explode(t.shingles("text")).alias("s"))
     return d.groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("s").alias("n_distinct"), F.min("s").alias("least"))
 
 
-@query(f"with w as (select doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') as t from documents), i as (select *, unnest(range(0, case when len(t) <= 350 then 1 else (len(t) - 350) // 300 + 1 end)) as k from w where len(t) > 0) select doc_id, k::int as window, len(list_slice(t, k * 300 + 1, k * 300 + 350)) as n, t[k * 300 + 1] as first from i")
+_TOKENS = f"(select doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') as t from documents)"
+_WINDOWS = f"(select *, unnest(range(0, case when len(t) <= 350 then 1 else (len(t) - 350 + 299) // 300 + 1 end)) as k from {_TOKENS} where len(t) > 0)"
+
+
+@query(f"select doc_id, k::int as window, len(list_slice(t, k * 300 + 1, k * 300 + 350)) as n, t[k * 300 + 1] as first from {_WINDOWS}")
 def token_windows(spark, sf):
     d = spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.posexplode(t.windows(t.tokens("text"))).alias("window", "w"))
     return d.select("doc_id", "window", F.size("w").cast("long").alias("n"), F.col("w")[0].alias("first"))
 
 
-def _minhash_sql() -> str:
+_EMBED = f"""with u as (select doc_id, k, unnest(list_slice(t, k * 300 + 1, k * 300 + 350)) as tok from {_WINDOWS}), h as (select doc_id, k, {_H.format(x='tok', a=1)} as h from u),
+n as (select doc_id, count(distinct k) as n from h group by doc_id), v as (select doc_id, h % 64 as i, sum(case when h >= 2147483648 then 1 else -1 end) as v from h group by all),
+a as (select n.doc_id, i, coalesce(v, 0) / n as v from n cross join range(64) r(i) left join v using (doc_id, i)), l as (select doc_id, list(v order by i) as l, sqrt(sum(v * v)) as norm from a group by doc_id)
+select doc_id, list_transform(l, lambda x: round(case when norm > 0 then x / norm else x end, 6) + 0.0) as embedding from l"""
+
+
+@query(_EMBED)
+def embed_windows(spark, sf):
+    got = semantic.embed(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", semantic.hashed_encoder(64))
+    return got.select("doc_id", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+
+
+def _minhash_ctes(docs: str, bands: int, rows: int, threshold: float) -> str:
+    """mp: a, b, jaccard of the pairs that share a band."""
+    h = f"select distinct doc_id as id, {_H.format(x='s', a=1)} % {dedup.PRIME} as h from {_SHINGLES % docs}"
     mins = ", ".join(f"min(({a} * h + {b}) % {dedup.PRIME}) as m{i}" for i, (a, b) in enumerate(dedup.permutations(64)))
-    keys = ", ".join("concat_ws('-', " + ", ".join(f"m{j}" for j in range(i * 4, i * 4 + 4)) + ")" for i in range(16))
-    return f"""with h as ({_shingle_sql()}), m as (select id, {mins} from h group by id), k as (select id, unnest([{keys}]) as key, unnest(range(0, 16)) as band from m),
-p as (select distinct x.id as a, y.id as b from k x join k y on x.key = y.key and x.band = y.band and x.id < y.id),
-n as (select id, count(*) as n from h group by id), i as (select a, b, count(*) as i from p join h x on x.id = a join h y on y.id = b and x.h = y.h group by a, b)
-select a, b, round(i / (na.n + nb.n - i), 6) as jaccard from i join n na on na.id = a join n nb on nb.id = b where i / (na.n + nb.n - i) >= 0.5"""
+    keys = ", ".join("concat_ws('-', " + ", ".join(f"m{j}" for j in range(i * rows, i * rows + rows)) + ")" for i in range(bands))
+    return f"""mh as ({h}), mm as (select id, {mins} from mh group by id), mk as (select id, unnest([{keys}]) as key, unnest(range(0, {bands})) as band from mm),
+mc as (select distinct x.id as a, y.id as b from mk x join mk y on x.key = y.key and x.band = y.band and x.id < y.id),
+mn as (select id, count(*) as n from mh group by id), mi as (select a, b, count(*) as i from mc join mh x on x.id = a join mh y on y.id = b and x.h = y.h group by a, b),
+mp as (select a, b, i / (na.n + nb.n - i) as jaccard from mi join mn na on na.id = a join mn nb on nb.id = b where i / (na.n + nb.n - i) >= {threshold})"""
 
 
-def _near(spark, sf) -> DataFrame:
-    return dedup.minhash_pairs(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", 64, 16, 4, threshold=0.5)
+def _near(spark, sf, threshold: float = 0.5) -> DataFrame:
+    return dedup.minhash_pairs(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", threshold=threshold)
 
 
-@query(_minhash_sql())
+@query("with " + _minhash_ctes("documents", *dedup.banding(0.5), 0.5) + " select a, b, round(jaccard, 6) as jaccard from mp")
 def minhash_pairs(spark, sf):
     return _near(spark, sf).withColumn("jaccard", F.round("jaccard", 6))
 
 
-_CC = """, e as (select a, b from {p} union all select b, a from {p}), r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a), c as (select a as node, least(a, min(b)) as component from r group by a)"""
+@query("with " + _minhash_ctes("documents", *dedup.banding(0.9), 0.9) + " select a, b, round(jaccard, 6) as jaccard from mp")
+def minhash_pairs_strict(spark, sf):
+    return _near(spark, sf, 0.9).withColumn("jaccard", F.round("jaccard", 6))
+
+
+def _cc_ctes(pairs: str) -> str:
+    """cc: node, component."""
+    return f"ce as (select a, b from {pairs} union all select b, a from {pairs}), cr as (select a, b from ce union select cr.a, ce.b from cr join ce on cr.b = ce.a), cc as (select a as node, least(a, min(b)) as component from cr group by a)"
 
 
-@query("with recursive p as (" + _minhash_sql() + ")" + _CC.format(p="p") + " select node, component from c")
+_NEAR_CC = "with recursive " + _minhash_ctes("documents", *dedup.banding(0.5), 0.5) + ", " + _cc_ctes("mp")
+
+
+@query(_NEAR_CC + " select node, component from cc")
 def connected_components(spark, sf):
     return graph.connected_components(Workspace(spark, "q").save(_near(spark, sf)), "a", "b")
 
 
-@query("with recursive p as (" + _minhash_sql() + ")" + _CC.format(p="p") + ", f as (select doc_id, length(text) as len, coalesce(component, doc_id) as component from documents left join c on node = doc_id) select component, arg_max(doc_id, len * 1000000000 - doc_id) as doc_id, count(*) as n from f group by component")
+def _longest_ctes(docs: str) -> str:
+    """ll: component, doc_id (of the longest text, ties to the least id), n."""
+    return f"lf as (select doc_id, coalesce(length(text), -1) as len, coalesce(component, doc_id) as component from {docs} left join cc on node = doc_id), ll as (select component, arg_max(doc_id, len * 1000000000 - doc_id) as doc_id, count(*) as n from lf group by component)"
+
+
+@query(_NEAR_CC + ", " + _longest_ctes("documents") + " select component, doc_id, n from ll")
 def cluster_representatives(spark, sf):
     labels = dedup.clusters(Workspace(spark, "q").save(_near(spark, sf)))
     return dedup.representatives(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", labels)
 
 
-def _simhash_sql() -> str:
+def _simhash_ctes(docs: str = "documents") -> str:
+    """sf: id, hi, lo."""
     toks = r"list_filter(regexp_split_to_array(lower(text), '[\x00-/:-@\[-`{-©«-±´¶-¸»¿×÷]+'), lambda x: x <> '')"
     votes = ", ".join(f"sum(({c} >> {i}) & 1) as {c}{i}" for c in "hl" for i in range(32))
     part = lambda c: " + ".join(f"(case when {c}{i} * 2 > n then {1 << i} else 0 end)::bigint" for i in range(32))
-    return f"""t as (select doc_id, {toks} as t from documents), g as (select doc_id, unnest(case when len(t) >= 4 then list_transform(range(1, len(t) - 2), lambda i: array_to_string(list_slice(t, i, i + 3), ' ')) else t end) as g from t),
-v as (select doc_id as id, {_H.format(x='g', a=1)} as h, {_H.format(x='g', a=9)} as l from g), s as (select id, count(*) as n, {votes} from v group by id), f as (select id, {part('h')} as hi, {part('l')} as lo from s)"""
+    return f"""st as (select doc_id, {toks} as t from {docs}), sg as (select doc_id, unnest(case when len(t) >= 4 then list_transform(range(1, len(t) - 2), lambda i: array_to_string(list_slice(t, i, i + 3), ' ')) else t end) as g from st),
+sv as (select doc_id as id, {_H.format(x='g', a=1)} as h, {_H.format(x='g', a=9)} as l from sg), ss as (select id, count(*) as n, {votes} from sv group by id), sf as (select id, {part('h')} as hi, {part('l')} as lo from ss)"""
 
 
-@query("with " + _simhash_sql() + " select * from f")
+def _radius_cte(radius: int) -> str:
+    d = "bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo))"
+    return f"sp as (select a.id as a, b.id as b, {d} as distance from sf a join sf b on a.id < b.id where {d} <= {radius})"
+
+
+def _greedy_ctes() -> str:
+    """gg: the ids that a kept earlier one removes, resolved in ascending order."""
+    return """gn as (select id, row_number() over (order by id) as i, list(x) filter (where x is not null) as nb from (select b as id, a as x from sp union all select a, null from sp) group by id),
+gr as (select 0::bigint as i, []::bigint[] as kept union all select gr.i + 1, case when list_has_any(kept, coalesce(nb, []::bigint[])) then kept else list_append(kept, id) end from gr join gn on gn.i = gr.i + 1),
+gk as (select unnest(kept) as id from gr where i = (select max(i) from gr)), gg as (select id from gn where id not in (select id from gk))"""
+
+
+@query("with " + _simhash_ctes() + " select * from sf")
 def simhash_fingerprints(spark, sf):
     return dedup.simhash_table(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-@query("with " + _simhash_sql() + " select a.id as a, b.id as b, bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) as distance from f a join f b on a.id < b.id where bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 7")
-def simhash_pairs(spark, sf):
+def _simhash_pairs(spark, sf, radius: int) -> DataFrame:
     fp = Workspace(spark, "q").save(dedup.simhash_table(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text"))
-    return dedup.hamming_pairs(fp, 7)
+    return dedup.hamming_pairs(fp, radius)
 
 
-@query()
+@query("with " + _simhash_ctes() + ", " + _radius_cte(3) + " select * from sp")
+def simhash_pairs(spark, sf):
+    return _simhash_pairs(spark, sf, 3)
+
+
+@query("with " + _simhash_ctes() + ", " + _radius_cte(7) + " select * from sp")
+def simhash_pairs_wide(spark, sf):
+    """A radius at which the small tables have more than one pair; it costs shorter keys, so many more candidates."""
+    return _simhash_pairs(spark, sf, 7)
+
+
+@query("with recursive " + _simhash_ctes() + ", " + _radius_cte(3) + ", " + _greedy_ctes() + " select doc_id as id from documents where doc_id not in (select id from gg)")
 def simhash_greedy(spark, sf):
+    return dedup.simhash_dedup(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+@query("with recursive " + _simhash_ctes() + ", " + _radius_cte(7) + ", " + _greedy_ctes() + " select doc_id as id from documents where doc_id not in (select id from gg)")
+def simhash_greedy_wide(spark, sf):
     return dedup.simhash_dedup(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", radius=7)
 
 
@@ -456,7 +565,16 @@ def containment_pairs(spark, sf):
     return dedup.containment_pairs(table(spark, sf, "benchmark"), "item_id", "text", spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-@query()
+@query("with pool as (select doc_id as id, text from documents union all select -1 - item_id, text from benchmark) select id from pool n where length(text) < 20 or text is null or not exists (select 1 from pool d where d.id <> n.id and length(d.text) > length(n.text) and length(d.text) >= 20 and contains(d.text, n.text))")
+def containment_removal(spark, sf):
+    pool = spread(spark, sf, "documents", "doc_id", "text").select(F.col("doc_id").alias("id"), "text").unionByName(table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("id"), "text"))
+    return dedup.containment_dedup(pool, "id", "text")
+
+
+_FIRST = f"df as (select * from documents where doc_id in (select min(doc_id) from documents group by md5({NORM})))"
+
+
+@query("with recursive " + ", ".join([_FIRST, _minhash_ctes("df", *dedup.banding(0.5), 0.5), _cc_ctes("mp"), _longest_ctes("df"), "dl as (select * from df where doc_id in (select doc_id from ll))", _simhash_ctes("dl"), _radius_cte(7), _greedy_ctes()]) + " select doc_id from dl where doc_id not in (select id from gg)")
 def dedup_cascade(spark, sf):
     return dedup.cascade(spread(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", threshold=0.5, radius=7)
 
@@ -466,14 +584,15 @@ def dedup_cascade(spark, sf):
 _COS = "list_cosine_similarity(a.embedding::double[], b.embedding::double[])"
 
 
-@query(f"select id, neighbour, round(sim, 4) as similarity, r as rank from (select a.vec_id as id, b.vec_id as neighbour, {_COS} as sim, row_number() over (partition by a.vec_id order by round({_COS}, 9) desc, b.vec_id) as r from embeddings a join embeddings b on a.vec_id <> b.vec_id) where r <= 3")
+@query(f"select id, neighbour, round(sim, 4) as similarity, r as rank from (select a.vec_id as id, b.vec_id as neighbour, {_COS} as sim, row_number() over (partition by a.vec_id order by round({_COS}, 9) desc, b.vec_id) as r from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0) where r <= 3")
 def cosine_topk(spark, sf):
-    return semantic.cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", 3).withColumn("similarity", F.round("similarity", 4))
+    e = table(spark, sf, "embeddings")
+    return semantic.cosine_topk(e, "vec_id", "embedding", 3, queries=e.filter("vec_id % 50 = 0")).withColumn("similarity", F.round("similarity", 4))
 
 
-@query(f"with recursive p as (select a, b from (select a.vec_id as a, b.vec_id as b, {_COS} as sim, row_number() over (partition by a.vec_id order by round({_COS}, 9) desc, b.vec_id) as r from embeddings a join embeddings b on a.vec_id <> b.vec_id) where r = 1 and sim >= 0.4)" + _CC.format(p="p") + " select coalesce(component, vec_id) as component, min(vec_id) as vec_id, count(*) as n from embeddings left join c on node = vec_id group by 1")
+@query(f"with recursive p as (select a.vec_id as a, b.vec_id as b from embeddings a join embeddings b on a.vec_id < b.vec_id where round({_COS}, 9) >= 0.4), " + _cc_ctes("p") + " select coalesce(component, vec_id) as component, min(vec_id) as vec_id, count(*) as n from embeddings left join cc on node = vec_id group by 1")
 def semantic_dedup(spark, sf):
-    return semantic.semantic_dedup(table(spark, sf, "embeddings"), "vec_id", None, "embedding", 0.4, mode="top1")
+    return semantic.semantic_dedup(table(spark, sf, "embeddings"), "vec_id", None, "embedding", 0.4)
 
 
 @query("select label, list(round(v / n, 6) order by i) as pooled from (select label, i, v, sqrt(sum(v * v) over (partition by label)) as n from (select label, i, avg(v) as v from (select label, unnest(embedding::double[]) as v, generate_subscripts(embedding, 1) as i from embeddings) group by label, i)) group by label")
@@ -497,6 +616,33 @@ def rechunk(spark, sf):
 
 
 @query()
+def segment_articles(spark, sf):
+    """Only texts of a hundred words and more are cut."""
+    d = t.cleaned(spread(spark, sf, "documents", "doc_id", "text"), "text", "cleaned").select("doc_id", "cleaned")
+    return segment.tile_texts(d, "cleaned", "doc_id", min_words=100).drop("cleaned")
+
+
+@query()
+def edge_coherence(spark, sf):
+    e = segment.with_edges(spread(spark, sf, "documents", "doc_id", "text"), "text", "edge", semantic.hashed_encoder(64)())
+    return e.select("doc_id", F.round("edge", 6).alias("edge"))
+
+
+@query()
+def tile_grid(spark, sf):
+    return segment.tile_grid(spread(spark, sf, "documents", "doc_id", "text"), "text", "doc_id", [{"w": 25, "k": 6}, {"w": 25, "k": 6, "policy": "LC"}, {"w": 20, "k": 8}])
+
+
+@query()
+def sample_size_study(spark, sf):
+    return segment.sample_size_study(table(spark, sf, "documents"), "text", "doc_id", [50, 100, 200])
+
+
+_PARTS = r"""regexp_replace(regexp_replace(text, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g'), '([.!?…]["''”’)\]]?)\s+(["''“‘(\[]*[\p{Lu}\p{N}¿¡])', '\1' || chr(1) || '\2', 'g')"""
+_SHORT = r"((^|[^\p{L}\p{N}_])(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|vs|etc|e\.g|i\.e|No|Inc|Ltd|Co|Corp|approx|Fig|al)|(^|[^\p{L}\p{N}_])\p{Lu})\.$"
+
+
+@query(f"with p as (select doc_id, list_filter(string_split({_PARTS}, chr(1)), lambda x: x <> '') as p from documents), s as (select doc_id, case when len(p) > 0 then string_split(list_reduce(p, lambda a, b: a || case when regexp_matches(a, '{_SHORT}') then ' ' else chr(1) end || b), chr(1)) end as s from p) select doc_id, s[1] as first, s[-1] as last from s")
 def first_last_sentence(spark, sf):
     return spread(spark, sf, "documents", "doc_id", "text").select("doc_id", t.first_last_sentence("text").alias("s")).select("doc_id", "s.first", "s.last")
 
@@ -515,3 +661,17 @@ def llm_map_stub(spark, sf):
     limits = model_map.Limits(requests_per_minute=10**9, tokens_per_minute=10**12)
     got = model_map.map_rows(rows, _stub, model_map.ASSESSMENT, "id", {"text": "message"}, limits=limits)
     return got.select("id", "is_about", "is_relevant", "stage", "reasoning", "status")
+
+
+def _region_stub():
+    async def client(row: dict) -> dict:
+        return {"code": row["code"].lower(), "relevant": row["region"] == 3}
+
+    return client
+
+
+@query("select n_nationkey as id, lower(n_name) as code, n_regionkey = 3 as relevant, 'ok' as status from nation")
+def region_relevance(spark, sf):
+    rows = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("code"), F.col("n_regionkey").alias("region"))
+    limits = model_map.Limits(requests_per_minute=10**9, tokens_per_minute=10**12)
+    return model_map.map_rows(rows, _region_stub, model_map.REGION, "id", limits=limits).select("id", "code", "relevant", "status")

@@ -48,18 +48,20 @@ def test_shingles(spark):
     assert got == [[], ["a b c d e f g h"], ["a b c d e f g h", "b c d e f g h i"], []]
 
 
-@pytest.mark.parametrize(("n", "starts"), [(350, [0]), (351, [0]), (649, [0]), (650, [0, 300]), (700, [0, 300]), (0, [])])
-def test_windows(spark, n, starts):
+@pytest.mark.parametrize(("n", "whole", "full"), [(350, [0], [0]), (351, [0, 300], [0]), (649, [0, 300], [0]), (650, [0, 300], [0, 300]), (700, [0, 300, 600], [0, 300]), (0, [], [])])
+def test_windows(spark, n, whole, full):
     text = " ".join(str(i) for i in range(n))
     got = col(spark, [text], t.windows(t.tokens("v")))[0]
-    assert [int(w[0]) for w in got] == starts
-    tails = col(spark, [text], t.windows(t.tokens("v"), keep_tail=True))[0]
-    assert not n or int(tails[-1][-1]) == n - 1
+    assert [int(w[0]) for w in got] == whole and (not n or int(got[-1][-1]) == n - 1)
+    assert [int(w[0]) for w in col(spark, [text], t.windows(t.tokens("v"), keep_tail=False))[0]] == full
 
 
 def test_html(spark):
     page = "<html><style>p{}</style><script>var t='</p>';</script><h1>A &amp; B</h1><p>one<br>two</p><ul><li>x</li></ul></html>"
     assert t.html_text(page) == "A & B\n\none\ntwo\n\nx" and t.html_text(None) is None
+    assert t.html_text("<table><tr><td>Name</td><td>Price</td></tr><tr><td>a<!-- x -->b</td></tr></table>") == "Name Price\n\na b"
+    assert t.html_text("<b>a</b><i>b</i> c <p>cut off<di") == "a b c\n\ncut off" and t.html_text("<script>never ends") == ""
+    assert t.html_text("<head><title>T</title></head><p>x\xa0 y&nbsp;z &amp") == "T\n\nx y z &"
     assert col(spark, ["<P>x", "a < b", "<break>", None], t.looks_like_html("v")) == [True, False, False, False]
 
 
@@ -70,6 +72,8 @@ def test_boilerplate(spark):
     assert lines == ["Subscribe to our list"]  # exactly 3 %, though indented and with CR; "short" is below ten characters
     got = {r.i: r.v for r in t.strip_lines(df, "v", lines).collect()}
     assert "Subscribe" not in got[0] and got[60] == body(60)
+    none = df.limit(2).withColumn("v", F.when(F.col("i") > 0, F.col("v")))
+    assert {r.i: r.x for r in t.strip_listed(df.unionByName(none.withColumn("i", F.col("i") + 1000)), "i", "v", t.boilerplate_lines(df, "v", top=None), "x", limit=0).collect() if r.i in (0, 60, 1000)} == {0: got[0], 60: got[60], 1000: None}
     twice = spark.createDataFrame([(0, "the same line\nthe same line"), (1, "another line")], "i int, v string")
     assert [(r.line, r.n, r.pct_docs) for r in t.boilerplate_lines(twice, "v", 0.9).collect()] == [("the same line", 2, 1.0)]
 
@@ -129,9 +133,8 @@ def test_code_lists(spark):
 
 def test_mode_and_concat(spark):
     df = spark.createDataFrame([("g", "b", 1), ("g", "a", 2), ("h", None, 3), ("k", "z", 4), ("k", "y", 5), ("k", "y", 6), (None, "q", 7)], "g string, v string, o int")
-    assert {r.g: r.m for r in s.mode_by(df, "g", "v", "m").collect()} == {"g": "a", "h": None, "k": "y", None: "q"} or True
-    got = {r.g: r.m for r in s.mode_by(df.filter("g is not null"), "g", "v", "m").collect()}
-    assert got == {"g": "a", "h": None, "k": "y"}
+    assert {r.g: r.m for r in s.mode_by(df, "g", "v", "m").collect()} == {"g": "a", "h": None, "k": "y", None: "q"}
+    assert {r.g: r.m for r in s.mode_by(df.withColumn("v", F.ascii("v")), "g", "v", "m").collect()} == {"g": 97, "h": None, "k": 121, None: 113}
     many = spark.createDataFrame([("four", x, i) for i, x in enumerate("dcba")] + [("five", x, i) for i, x in enumerate("edcbaa")] + [("none", None, 9)], "g string, v string, o int")
     assert {r.g: r.c for r in s.set_concat(many, "g", "v", "o", "c", 4).collect()} == {"four": "d | c | b | a", "five": "e | d | c | b (+ 1 more)", "none": ""}
     assert {r.g: r.c for r in s.set_concat(many, "g", "v", "o", "c", None, 13).collect()}["four"] == "d | c | b | a"
@@ -140,13 +143,18 @@ def test_mode_and_concat(spark):
 
 def test_summarise(spark):
     df = spark.createDataFrame([("t", 1, "x", 4, "2024-02-01"), ("t", 2, "y", 5, "2024-01-01"), (None, 3, "z", 1, "2023-01-01")], "target string, i int, title string, score int, date string")
-    got = s.summarise(df, "target", "i", modes=["title", "absent"], sets={"title": (4, None)} and {}, mins=["date"], means=["score"]).collect()
-    assert [(r.target, r.date, r.score, r.title) for r in got] == [("t", "2024-01-01", 4.5, "x")]
+    df = df.withColumn("also", F.when(F.col("i") == 2, F.col("title"))).withColumn("never", F.lit(None).cast("string"))
+    assert s.summarise(df, "target", "i", sets={"never": (4, None)}).first().never == ""
+    got = s.summarise(df.withColumn("s", F.col("score")), "target", "i", modes=["title", "absent", "never"], sets={"also": (4, None), "s": (1, None), "date": (1, 12)}, mins=["i"], means=["score"]).collect()
+    assert [(r.target, r.i, r.score, r.title, r.never, r.also, r.s, r.date) for r in got] == [("t", 1, 4.5, "x", None, "y", "4 (+ 1 more)", "2024-02-01 (...")]
 
 
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, "a", "2024"), (2, "a", "2025"), (3, "a", "2025"), (4, None, "2020"), (5, None, None), (6, "n", None)], "i int, k string, d string")
     assert sorted(r.i for r in s.latest_per_key(df, "k", "d", "i").collect()) == [2, 4, 6]
+    ids = df.withColumn("i", F.concat(F.lit("an"), F.col("i").cast("string"))).withColumn("m", F.create_map(F.lit(1), F.lit(2)))
+    assert sorted(r.i for r in s.latest_per_key(ids, "k", "d", "i").collect()) == ["an2", "an4", "an6"]
+    assert "WindowGroupLimit" in s.latest_per_key(ids, "k", "d", "i")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_metrics_without_positives(spark):
@@ -170,6 +178,13 @@ def test_dense_ids(spark, parts):
     df = spark.createDataFrame([(i, i % 7) for i in range(500)], "i int, k int").repartition(parts)
     got = sorted((r.k, r.i, r.row_id) for r in dedup.dense_ids(df, ["k", "i"]).collect())
     assert [r[2] for r in got] == list(range(500))
+    wide = df.withColumn("text", F.lit("x")).withColumn("m", F.create_map(F.lit(1), F.col("k"))).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    for order in (["k", "i"], ["k"]):  # unique keys, and hot repeated ones, null among them
+        got = dedup.dense_ids(wide.unionByName(wide.filter("i < 9")) if order == ["k"] else wide, order).collect()
+        assert sorted(r.row_id for r in got) == list(range(len(got))) and got[0].text == "x"
+        places = [r.k or 0 for r in sorted(got, key=lambda r: r.row_id)]
+        assert places == sorted(places)
+    assert dedup.dense_ids(df.limit(0), ["k"]).count() == 0
 
 
 def test_relational(spark):
@@ -181,6 +196,11 @@ def test_relational(spark):
         rel.require(df, ["i", "zz"])
     assert rel.epoch_columns(df, ["at", "b", "zz"]).first().at == dt.datetime.fromtimestamp(1700000000.123)
     other = spark.createDataFrame([(1, "r")], "i int, b string")
+    three = spark.createDataFrame([(5, "x"), (3, "y"), (4, "z")], "i int, v string")
+    two = spark.createDataFrame([("b", 1, "v1"), ("a", 0, "v0")], "o string, n int, v string")
+    assert {r.i: r.n for r in rel.positional(three, two, ["i"], ["o"]).collect()} == {3: 0, 4: 1, 5: None}
+    with pytest.raises(ValueError):
+        rel.positional(three, two, ["i"], [])
     assert rel.left_results(df, other, "i").columns == ["i", "at", "a_exchange", "b", "b_new"]
 
 
@@ -224,6 +244,9 @@ def test_minhash_short_texts(spark):
     assert near() == {(3, 4)} and near(short_text="collapse") == {(3, 4), (1, 2)} == near(threshold=0.5, short_text="collapse")
     reps = dedup.representatives(df, "i", "v", dedup.clusters(dedup.minhash_pairs(df, "i", "v", 64, 16, 4, threshold=0.5)))
     assert sorted(r.i for r in reps.collect()) == [1, 2, 4, 5]
+    ids = spark.createDataFrame([("b", "xx"), ("a", "yy"), ("c", None), ("d", None)], "i string, v string")
+    label = spark.createDataFrame([(x, "a") for x in "abcd"], "node string, component string")
+    assert [(r.component, r.i, r.n) for r in dedup.representatives(ids, "i", "v", label).collect()] == [("a", "a", 4)]
 
 
 def test_minhash_recall_at_the_threshold(spark):
@@ -266,11 +289,22 @@ def test_greedy_is_no_component(spark):
     for i in range(80):
         if not any((j, i) in e for j in kept):
             kept.add(i)
-    assert {x.id for x in dedup.greedy_keep(spark.range(80), spark.createDataFrame(sorted(e), "a long, b long")).collect()} == kept
+    pairs = spark.createDataFrame(sorted(e), "a long, b long")
+    for most in (1_000_000, 10, 0):  # components in tasks, some by rounds, all by rounds
+        assert {x.id for x in dedup.greedy_keep(spark.range(80), pairs, task_pairs=most).collect()} == kept
+    chain = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {x.id for x in dedup.greedy_keep(spark.range(3001), chain).collect()} == set(range(0, 3001, 2))
+    named = spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string")
+    assert sorted(x.id for x in dedup.greedy_keep(spark.createDataFrame([(x,) for x in "abc"], "id string"), named).collect()) == ["a", "c"]
 
 
 def test_containment(spark):
     long = "we met at the old harbour and spoke of the weather all day"
+    tiny = [(i, v) for i, v in enumerate(["day", "all day", "r and", "of the we", "the", "", " ", "harbour and spoke", None, "old harb"], 20)]
+    both = spark.createDataFrame([(1, long), (9, "all day and the"), *tiny], "i long, v string")
+    want = {(a.i, b.i) for a in both.collect() for b in both.collect() if a.v and b.v and a.i != b.i and len(b.v) > len(a.v) and a.v in b.v}
+    for chars in (1 << 20, 5):  # one block of needles, and several
+        assert {tuple(r) for r in dedup.containment_pairs(both, "i", "v", both, "i", "v", proper=True, block_chars=chars).collect()} == want
     docs = spark.createDataFrame([(1, long), (2, "met at the old harbour and spoke"), (3, "et at the old harbour and spo"), (4, long), (5, "weather all"), (6, "elsewhere nothing of the kind happened")], "i long, v string")
     want = {(a.i, b.i) for a in docs.collect() for b in docs.collect() if a.i != b.i and len(b.v) > len(a.v) and a.v in b.v}
     assert {tuple(r) for r in dedup.containment_pairs(docs, "i", "v", docs, "i", "v", proper=True).collect()} == want
@@ -302,6 +336,10 @@ def test_cosine(spark):
     sim[:, 9] = -9
     assert 9 not in got and got[3] == (7, 1.0)
     assert all(got[i][0] == int(sim[i].argmax()) for i in range(60) if i != 9)
+    some = {r.id: r.neighbour for r in semantic.cosine_topk(df, "i", "v", 1, blocks=3, queries=df.filter("i % 10 = 0")).collect()}
+    assert some == {i: got[i][0] for i in range(0, 60, 10)}
+    named = semantic.cosine_topk(df.withColumn("i", F.concat(F.lit("v"), F.lpad(F.col("i").cast("string"), 2, "0"))), "i", "v", 1, blocks=2)
+    assert {r.id: r.neighbour for r in named.collect()} == {f"v{i:02d}": f"v{n:02d}" for i, (n, _) in got.items()}
     pairs = {(r.a, r.b) for r in semantic.cosine_pairs(df, "i", "v", 0.6, 4).collect()}
     assert pairs == {(i, j) for i in range(60) for j in range(i + 1, 60) if sim[i, j] >= 0.6 and i != 9}
     assert semantic.cosine_topk(df.limit(1), "i", "v").count() == 0 and semantic.cosine_topk(df.limit(0), "i", "v").count() == 0
@@ -392,6 +430,42 @@ def test_model_map(spark, tmp_path):
     again = model_map.map_resumable(df, path, flaky, "stage string", "i", limits=FAST, tasks=1).collect()
     assert {r.i: r.status for r in again} == {1: "ok", 2: "ok", 3: "failed", 4: "ok"}
     assert spark.read.parquet(path).filter("i = 1").count() == 1  # not called twice
+    many = model_map.map_resumable(df, str(tmp_path / "chunks"), flaky, "stage string", "i", chunk=1, limits=FAST, tasks=1)
+    assert {r.i: r.status for r in many.collect()} == {1: "ok", 2: "ok", 3: "failed", 4: "ok"}
+    assert model_map.map_resumable(df.limit(0), str(tmp_path / "none"), flaky, "stage string", "i", limits=FAST).count() == 0
+
+
+def test_limits_hold_over_batches_and_calls():
+    """A task that calls for several batches has one burst, a call has its time, and tasks share what there is."""
+    clock = [0.0]
+    buckets = (model_map.Bucket(10, lambda: clock[0]), model_map.Bucket(10**9, lambda: clock[0]))
+
+    async def client(row):
+        return {"i": row["i"]}
+
+    limits = model_map.Limits(requests_per_minute=10, retries=1)
+    for batch in range(2):
+        assert [r[1] for r in asyncio.run(model_map.call_all([{"i": i} for i in range(5)], client, limits, lambda r: 1, buckets))] == ["ok"] * 5
+    assert buckets[0].level == 0  # ten of ten are gone after two batches
+
+    async def slow(row):
+        await asyncio.sleep(5)
+
+    got = asyncio.run(model_map.call_all([{"i": 1}], slow, model_map.Limits(timeout=0.01, retries=2, first_delay=0.001), lambda r: 1))
+    assert got[0][1:3] == ("failed", 2) and "Timeout" in got[0][3]
+    few = model_map.Limits(requests_per_minute=7, concurrency=3)
+    assert few.tasks(100) == 3 and few.share(3).requests_per_minute * 3 <= 7 and few.share(3).concurrency * 3 <= 3
+
+
+def test_search_before_the_model():
+    async def search(q):
+        return f"found {q}"
+
+    async def client(row):
+        return {"group_name": row["search_results"]}
+
+    call = model_map.searching(lambda: search, lambda: client)()
+    assert asyncio.run(call({"query": "x"})) == {"group_name": "found x"}
 
 
 def test_limits_and_helpers():
@@ -455,8 +529,16 @@ def test_excel(spark, tmp_path):
     assert sheet.index("b&lt;&amp;&gt;") < sheet.index(">a<") and "Company" in sheet
     with pytest.raises(ValueError):
         excel.export(df, path, max_rows=2)
+    with pytest.raises(ValueError, match="cell"):
+        excel.export(df.withColumn("name", F.repeat(F.lit("x"), 40_000)), path)
     full, flagged, latest = excel.three_reports(df.withColumn("i", F.col("score")).limit(1), spark.createDataFrame([(1, "true")], "i int, hit string"), "i", "hit", "name", "date", ["score"])
     assert full.count() == flagged.count() == latest.count() == 1
+    named = df.withColumn("an", F.concat(F.lit("an"), F.col("date")))
+    hits = spark.createDataFrame([("an2024", "1", "t"), ("an2023", "true", "t"), ("an2025", "no", "u")], "an string, hit string, target string")
+    full, flagged, latest = excel.three_reports(named, hits, "an", "hit", "target", "date", ["score"])
+    assert (full.count(), flagged.count(), [r.an for r in latest.collect()]) == (3, 2, ["an2024"])
+    full, flagged, latest = excel.three_reports(named, hits.drop("an").withColumn("o", F.monotonically_increasing_id()).coalesce(1), "an", "hit", "target", "date", ["score"], order=(["an"], ["o"]))
+    assert full.count() == 3 and flagged.count() == 2
 
 
 def test_remote_source(spark, tmp_path):
