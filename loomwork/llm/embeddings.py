@@ -2,18 +2,21 @@
 
 A vector is normalised, padded to a power of two and rotated at random three times over (signs, then fast Hadamard transform);
 its hash is the axis of the cross-polytope that is nearest, the coordinate of greatest size with its sign. ``k`` such hashes make
-a bucket of one of ``tables`` tables; each vector is also listed in the ``probes`` next best buckets, those that change
-the hashes with the least loss. ``k`` grows with the logarithm of the number of vectors, so that there are
-more buckets than vectors and unlike vectors seldom meet. There are 2**k tables, or more where the dimension, k and the threshold need
-more: as many as find 0.97 of the pairs right at the threshold, by the share that one table finds of random pairs at that cosine.
+a bucket of one of ``tables`` tables; a vector is also listed in the buckets that change one hash to an axis nearly as near (squared
+difference of the coordinates up to ``reach`` / dimension), so the number of probes follows the doubt. ``k`` grows with the logarithm of the
+number of vectors, so that a bucket has about ``per_bucket`` of them or fewer. There are as many tables as find 0.97 of the pairs right at the
+threshold, by the share that one table finds of random pairs at that cosine.
 
-Candidates are first the star of each bucket, from its least node to the others, then, in buckets that still hold
-several components, all pairs of different components of which at least one is at home there. All are verified by exact
-cosine. Pairs within one component would change nothing, so the groups are the components of all candidate pairs.
+Each listing carries 64 signs of one more rotation. Members of a bucket are candidates only if they differ in few of them: in no more than 4.5
+deviations above the mean of pairs at the threshold, which those tables' count allows for. Buckets of up to ``most`` listings give all such
+pairs, at most most / 2 a listing. A larger bucket (many copies of one vector) links its members to the least of them, and after components are
+known to those of other components than its largest one: pairs within a component would change nothing, so the groups are the components of all
+candidate pairs. All candidates are verified by exact cosine; only vectors that have one are joined.
 
 Null, empty and zero vectors, and vectors with nulls, NaN or infinities, are never duplicates. Vectors of different length are
 compared as if padded with zeros. Rows equal in id and vector are one; equal vectors form one node before hashing.
-The member with the least id stays, null ids last (then least hash of the vector). Other columns are never looked at.
+The member with the least id stays, null ids last (then least hash of the vector). Ids are of any type with an order. Other columns are never
+looked at, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -25,85 +28,125 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.columns import col
 from loomwork.operators.graph import connected_components
 from loomwork.workspace import Workspace
 
+_BLOCK = 128
+
+
+@functools.lru_cache(maxsize=16)
+def _small(d: int) -> np.ndarray:
+    h = np.ones((1, 1), dtype=np.float32)
+    while len(h) < d:
+        h = np.block([[h, h], [h, -h]])
+    return (h / math.sqrt(d)).astype(np.float32)
+
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """Fast Walsh-Hadamard transform of the rows, length a power of two."""
-    d, h = x.shape[1], 1
-    while h < d:
-        y = x.reshape(len(x), d // (2 * h), 2, h)
-        x = np.stack((y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]), axis=2).reshape(len(x), d)
-        h *= 2
-    return x / math.sqrt(d)
+    """Fast Walsh-Hadamard transform of the rows, length a power of two: factors of up to 128 coordinates at a time."""
+    n, d = x.shape
+    if d <= _BLOCK:
+        return x @ _small(d)
+    a = d // _BLOCK
+    y = (x.reshape(-1, _BLOCK) @ _small(_BLOCK)).reshape(n, a, _BLOCK).transpose(0, 2, 1).reshape(-1, a)
+    return hadamard(np.ascontiguousarray(y)).reshape(n, _BLOCK, a).transpose(0, 2, 1).reshape(n, d)
 
 
-@functools.lru_cache(maxsize=1024)
+@functools.lru_cache(maxsize=4096)
 def _signs(d: int, seed: int, which: int) -> np.ndarray:
     return np.random.default_rng((seed, which, d)).choice(np.array([-1.0, 1.0], dtype=np.float32), (3, d))
 
 
-def buckets(x: np.ndarray, k: int, tables: int, probes: int, seed: int = 5) -> np.ndarray:
-    """Bucket numbers, shape (rows, tables, 1 + probes): the home bucket first."""
+def rotated(x: np.ndarray, seed: int, which: int) -> np.ndarray:
+    for s in _signs(x.shape[1], seed, which):
+        x = hadamard(x * s)
+    return x
+
+
+def listings(x: np.ndarray, k: int, tables: int, reach: float, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bucket number of every listing, the home buckets among them."""
     d = x.shape[1]
-    out = np.zeros((len(x), tables, 1 + probes), dtype=np.int64)
-    near = min(d, max(2, probes + 1))
+    near = min(d, 4)
+    rows, keys, every = [], [], np.arange(len(x))
     for t in range(tables):
-        axes, loss = [], []
+        axes, gaps = [], []
         for j in range(k):
-            y = x
-            for s in _signs(d, seed, t * k + j):
-                y = hadamard(y * s)
+            y = rotated(x, seed, 1 + t * k + j)
             size = np.abs(y)
             top = np.argpartition(-size, near - 1, axis=1)[:, :near]
-            top = np.take_along_axis(top, np.argsort(-np.take_along_axis(size, top, axis=1), axis=1, kind="stable"), axis=1)
-            axes.append(top * 2 + (np.take_along_axis(y, top, axis=1) < 0))
             best = np.take_along_axis(size, top, axis=1)
-            loss.append((best[:, :1] - best) ** 2)
-        base = np.zeros(len(x), dtype=np.int64)
+            order = np.argsort(-best, axis=1, kind="stable")
+            top, best = np.take_along_axis(top, order, axis=1), np.take_along_axis(best, order, axis=1)
+            axes.append((top * 2 + (np.take_along_axis(y, top, axis=1) < 0)).astype(np.int64))
+            gaps.append((best[:, :1] - best[:, 1:]) ** 2)
+        home = np.full(len(x), t, dtype=np.int64)
         for j in range(k):
-            base = base * (2 * d) + axes[j][:, 0]
-        out[:, t, 0] = base
-        # one hash changed at a time, the least losses first
-        weight = [(2 * d) ** (k - 1 - j) for j in range(k)]
-        options = np.concatenate([base[:, None] + (axes[j][:, 1:] - axes[j][:, :1]) * weight[j] for j in range(k)], axis=1)
-        costs = np.concatenate([loss[j][:, 1:] for j in range(k)], axis=1)
-        order = np.argsort(costs, axis=1, kind="stable")[:, :probes]
-        got = np.take_along_axis(options, order, axis=1)
-        out[:, t, 1 : 1 + got.shape[1]] = got
-        out[:, t, 1 + got.shape[1] :] = base[:, None]
-    return out
-
-
-def tables_for(d: int, k: int, probes: int, threshold: float, recall: float = 0.97, seed: int = 5) -> int:
-    """Tables that find ``recall`` of the pairs right at the threshold, 2**k at least: one table's share is measured on
-    random pairs of that cosine. ValueError where it finds none of them."""
-    r, c, met, n = np.random.default_rng((seed, d, k)), min(1.0, max(-1.0, threshold)), 0, 4096
+            home = home * (2 * d) + axes[j][:, 0]
+        rows.append(every)
+        keys.append(home)
+        for j in range(k):
+            r, c = np.nonzero(gaps[j] <= reach / d)
+            rows.append(r)
+            keys.append(home[r] + (axes[j][r, c + 1] - axes[j][r, 0]) * (2 * d) ** (k - 1 - j))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def sketches(x: np.ndarray, seed: int = 5) -> np.ndarray:
+    """64 signs of each row as a number."""
+    d = x.shape[1]
+    bits = np.concatenate([rotated(x, seed + 1, i) >= 0 for i in range(-(-64 // d))], axis=1)[:, :64]
+    return np.packbits(bits, axis=1).view(">i8").ravel().astype(np.int64)
+
+
+def signs_apart(threshold: float) -> int:
+    """The greatest number of differing signs of a candidate."""
+    p = math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+    return min(64, math.floor(64 * p + 4.5 * math.sqrt(64 * p * (1 - p))))
+
+
+def tables_for(d: int, k: int, reach: float, threshold: float, recall: float = 0.97, seed: int = 5) -> int:
+    """Tables that find ``recall`` of the pairs right at the threshold: a table's share is measured on random pairs of that
+    cosine, over four tables. ValueError where it finds none of them."""
+    r, c, met, n = np.random.default_rng((seed, d, k)), min(1.0, max(-1.0, threshold)), 0, 2048
     for _ in range(0, n, 512):
         x, z = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in r.standard_normal((2, 512, d)))
         z -= (x * z).sum(axis=1, keepdims=True) * x
-        y = c * x + math.sqrt(1 - c * c) * z / np.linalg.norm(z, axis=1, keepdims=True)
-        a, b = (buckets(v.astype(np.float32), k, 1, probes, seed)[:, 0] for v in (x, y))
-        met += int(((a[:, :1] == b).any(axis=1) | (b[:, :1] == a).any(axis=1)).sum())
+        y = c * x + math.sqrt(1 - c * c) * z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+        x, y = x.astype(np.float32), y.astype(np.float32)
+        listed = [set(zip(*(v.tolist() for v in listings(w, k, 4, reach, seed)))) for w in (x, y)]
+        alike = np.bitwise_count((sketches(x, seed) ^ sketches(y, seed)).astype(np.uint64)) <= signs_apart(threshold)
+        met += len({(row, key // (2 * d) ** k) for row, key in listed[0] & listed[1] if alike[row]})
     if not met:
         raise ValueError(f"no table of {k} hashes in {d} dimensions finds pairs at a cosine of {threshold}: give tables, or a larger per_bucket")
-    return max(1 << k, 1 if met == n else math.ceil(math.log(1 - recall) / math.log(1 - met / n)))
+    return 1 if met == 4 * n else math.ceil(math.log(1 - recall) / math.log(1 - met / (4 * n)))
+
 
+def _unit(w: np.ndarray) -> np.ndarray:
+    n = np.sqrt((w * w).sum(axis=1, keepdims=True))
+    good = np.isfinite(n) & (n > 0)
+    return np.where(good, w / np.where(good, n, 1), 0)
 
-def _matrix(vectors: list, d: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors padded to d, and which rows are vectors at all."""
-    x, ok = np.zeros((len(vectors), d), dtype=np.float32), np.zeros(len(vectors), dtype=bool)
-    for i, v in enumerate(vectors):
-        if v is not None and 0 < len(v) <= d:
-            w = np.array([np.nan if a is None else a for a in v], dtype=np.float64)
-            n = math.sqrt(float(w @ w)) if np.isfinite(w).all() else 0.0
-            if n > 0 and math.isfinite(n):
-                x[i, : len(w)], ok[i] = w / n, True
-    return x, ok
+
+def _padded(vectors: list, d: int) -> np.ndarray:
+    """Unit vectors of length d of vectors of finite numbers."""
+    out = np.zeros((len(vectors), d))
+    lengths = {len(v) for v in vectors}
+    if len(lengths) == 1:
+        out[:, : lengths.pop()] = np.stack(vectors)
+    else:
+        for i, v in enumerate(vectors):
+            out[i, : len(v)] = v
+    return _unit(out)
+
+
+def _from_arrow(lists: pa.Array, d: int) -> np.ndarray:
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
+    return _padded(np.split(flat, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))[:-1]), d) if len(lists) else np.zeros((0, d))
 
 
 def cosine(a, b):
@@ -112,11 +155,7 @@ def cosine(a, b):
     @F.pandas_udf("double")
     def exact(a: pd.Series, b: pd.Series) -> pd.Series:
         d = max((len(v) for s in (a, b) for v in s), default=1) or 1
-        out = []
-        for i in range(0, len(a), 4096):
-            x, _ = _matrix(list(a[i : i + 4096]), d)
-            y, _ = _matrix(list(b[i : i + 4096]), d)
-            out.append((x.astype(np.float64) * y).sum(axis=1))
+        out = [(_padded(list(a[i : i + 4096]), d) * _padded(list(b[i : i + 4096]), d)).sum(axis=1) for i in range(0, len(a), 4096)]
         return pd.Series(np.concatenate(out) if out else [], dtype=float)
 
     return exact(a, b)
@@ -125,56 +164,63 @@ def cosine(a, b):
 class NearEmbeddings:
     """Groups of near-duplicate vectors; ``groups`` has vec_id, vh, group_id, group_size, keep."""
 
-    def __init__(self, vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9, tables: int | None = None, probes: int = 4, per_bucket: float = 0.125, seed: int = 5):
+    def __init__(self, vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9, tables: int | None = None, reach: float = 0.03, per_bucket: float = 4, most: int = 32, seed: int = 5):
         self.ws = ws = Workspace(vectors.sparkSession, "embeddings")
         self.threshold = threshold
-        kind = "array<float>" if dict(vectors.dtypes).get(embedding) == "array<float>" else "array<double>"
-        rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(kind).alias("e"))
-        rows = ws.save(rows.withColumn("vh", F.xxhash64(F.transform(F.col("e").cast("array<double>"), lambda v: v + F.lit(0.0)))))
-        shape = rows.agg(F.count("*").alias("n"), F.max(F.size("e")).alias("d")).first()
+        kind = "array<float>" if vectors.schema[embedding].dataType.simpleString() == "array<float>" else "array<double>"
+        e = col(embedding).cast(kind)
+        usable = F.coalesce(e.isNotNull() & (F.size(e) > 0) & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0), F.lit(False))
+        every = vectors.select(col(vec_id).alias("vec_id"), e.alias("e"), F.xxhash64(F.transform(e.cast("array<double>"), lambda v: v + F.lit(0.0))).alias("vh"), usable.alias("ok"))
+        rows = ws.save(every.select("vec_id", "vh", "ok", F.size("e").alias("d")))
+        self.nodes = ws.save(every.filter("ok").groupBy(F.col("vh").alias("node")).agg(F.first("e").alias("e")))
+        shape = rows.agg(F.count("*").alias("n"), F.max("d").alias("d")).first()
         d = 1 << max(1, math.ceil(math.log2(max(2, shape.d or 0))))
-        self.k = k = min(max(1, math.ceil(math.log(max(2, shape.n / per_bucket)) / math.log(2 * d))), int(62 // math.log2(2 * d)))
-        self.tables = tables = tables or tables_for(d, k, probes, threshold, seed=seed)
-        usable = F.col("e").isNotNull() & (F.size("e") > 0) & F.forall("e", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("e", lambda v: v != 0)
-        self.nodes = nodes = ws.save(rows.filter(usable).groupBy(F.col("vh").alias("node")).agg(F.first("e").alias("e")))
+        self.k = k = min(max(1, math.ceil(math.log(max(2, shape.n / per_bucket)) / math.log(2 * d))), int(54 // math.log2(2 * d)))
+        self.tables = tables = tables or tables_for(d, k, reach, threshold, seed=seed)
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                vs = batch.column(1).to_pylist()
-                for i in range(0, len(vs), 2048):
-                    x, _ = _matrix(vs[i : i + 2048], d)
-                    b = buckets(x, k, tables, probes, seed)
-                    n = len(x)
-                    shape_ = (n, tables, 1 + probes)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.broadcast_to(np.arange(tables, dtype=np.int32)[None, :, None], shape_).ravel()), pa.array(b.ravel()), pa.array(np.broadcast_to(ids[i : i + 2048, None, None], shape_).ravel()), pa.array(np.broadcast_to(np.arange(1 + probes)[None, None, :] == 0, shape_).ravel())],
-                        names=["t", "b", "node", "home"],
-                    )
-
-        lists = nodes.select("node", "e").mapInArrow(listed, "t int, b long, node long, home boolean").groupBy("t", "b", "node").agg(F.max("home").alias("home"))
-        self.lists = lists = ws.save(lists)
-        hubs = lists.groupBy("t", "b").agg(F.min("node").alias("a"), F.count("*").alias("c"), F.max("home").alias("home")).filter("c > 1 and home").select("t", "b", "a")
-        star = ws.save(lists.join(hubs, ["t", "b"]).filter("node > a").select("a", F.col("node").alias("z")).distinct())
-        first = self._verified(star)
+                for i in range(0, batch.num_rows, 2048):
+                    part = batch.slice(i, 2048)
+                    x = _from_arrow(part.column(1), d).astype(np.float32)
+                    at, keys = listings(x, k, tables, reach, seed)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part.column(0).to_numpy()[at]), pa.array(sketches(x, seed)[at])], names=["b", "node", "s"])
+
+        self.lists = lists = ws.save(self.nodes.select("node", "e").mapInArrow(listed, "b long, node long, s long"))
+        self.near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sz"))) <= signs_apart(threshold)
+        large = ws.save(lists.groupBy("b").agg(F.count("*").alias("n"), F.min(F.struct("node", "s")).alias("h")).filter(F.col("n") > most))
+        first = self._verified(ws.save(self._pairs(lists.join(large, "b", "left_anti"))))
+        hot = ws.save(lists.join(large.select("b", F.col("h.node").alias("a"), F.col("h.s").alias("sa")), "b"))
+        star = ws.save(hot.withColumnRenamed("s", "sz").filter((F.col("node") > F.col("a")) & self.near).select("a", F.col("node").alias("z")).distinct().join(first, ["a", "z"], "left_anti"))
+        first = ws.save(first.unionByName(self._verified(star)))
         label = ws.save(connected_components(first, "a", "z"))
-        of = lists.join(label, "node", "left").select("t", "b", "node", "home", F.coalesce("component", "node").alias("c"))
-        many = of.groupBy("t", "b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("t", "b")
-        open_ = ws.save(of.join(many, ["t", "b"], "left_semi"))
-        x, y = (open_.select("t", "b", F.col("node").alias(p), F.col("c").alias(f"c{p}"), F.col("home").alias(f"h{p}")) for p in "az")
-        rest = x.join(y, ["t", "b"]).filter("a < z and ca <> cz and (ha or hz)").select("a", "z").distinct().join(star, ["a", "z"], "left_anti")
+        of = ws.save(hot.join(label, "node", "left").select("b", "node", "s", F.coalesce("component", "node").alias("c")))
+        main = of.groupBy("b", "c").agg(F.count("*").alias("n")).groupBy("b").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("m")).filter("m > 1").select("b", "main")
+        open_ = ws.save(of.join(main, "b"))
+        x, y = (open_.select("b", "main", F.col("node").alias(p), F.col("c").alias(f"c{p}"), F.col("s").alias(f"s{p}")) for p in "az")
+        across = x.drop("main").join(y.filter("cz <> main"), "b").filter((F.col("ca") != F.col("cz")) & self.near)
+        rest = ws.save(across.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).distinct().join(star, ["a", "z"], "left_anti").join(first, ["a", "z"], "left_anti"))
         self.edges = ws.save(first.unionByName(self._verified(rest)))
         label = ws.save(connected_components(self.edges, "a", "z"))
-        self.groups = ws.save(self._groups(rows, usable, label))
+        self.groups = ws.save(self._groups(rows, label))
+        ws.drop(hot, star, of, open_, rest, large)
+
+    def _pairs(self, lists: DataFrame) -> DataFrame:
+        x, y = (lists.select("b", F.col("node").alias(p), F.col("s").alias(f"s{p}")) for p in "az")
+        return x.join(y, "b").filter((F.col("a") < F.col("z")) & self.near).select("a", "z").distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        of = {p: self.nodes.select(F.col("node").alias(p), F.col("e").alias(f"e{p}")) for p in "az"}
+        ends = self.ws.save(pairs.select(F.col("a").alias("node")).union(pairs.select("z")).distinct())
+        wanted = self.ws.save(self.nodes.join(ends, "node", "left_semi"))
+        of = {p: wanted.select(F.col("node").alias(p), F.col("e").alias(f"e{p}")) for p in "az"}
         both = pairs.join(of["a"], "a").join(of["z"], "z")
-        return self.ws.save(both.withColumn("cosine", cosine(F.col("ea"), F.col("ez"))).filter(F.col("cosine") >= self.threshold).select("a", "z", "cosine"))
+        out = self.ws.save(both.withColumn("cosine", cosine(F.col("ea"), F.col("ez"))).filter(F.col("cosine") >= self.threshold).select("a", "z", "cosine"))
+        self.ws.drop(ends, wanted)
+        return out
 
     @staticmethod
-    def _groups(rows: DataFrame, usable, label: DataFrame) -> DataFrame:
-        docs = rows.groupBy("vec_id", "vh", F.coalesce(usable, F.lit(False)).alias("ok")).agg(F.count("*").alias("copies"))
+    def _groups(rows: DataFrame, label: DataFrame) -> DataFrame:
+        docs = rows.groupBy("vec_id", "vh", "ok").agg(F.count("*").alias("copies"))
         inside = docs.join(label.withColumnRenamed("node", "vh"), "vh", "left").withColumn("c", F.when(F.col("ok"), F.coalesce("component", "vh")))
         key = F.struct(F.col("vec_id").isNull(), F.col("vec_id"), F.col("vh"))
         first = inside.filter("c is not null").groupBy("c").agg(F.min(key).alias("k"), F.sum("copies").alias("group_size"))
@@ -183,10 +229,8 @@ class NearEmbeddings:
         return got.select("vec_id", "vh", F.when(alone, F.col("vec_id")).otherwise(F.col("k.vec_id")).alias("group_id"), F.when(alone, F.col("copies")).otherwise(F.col("group_size")).alias("group_size"), (alone | (key == F.col("k"))).alias("keep"))
 
     def all_pairs(self) -> DataFrame:
-        """Every verified pair of nodes that shares a bucket at home in one of the two: as many rows as there are
-        pairs, so quadratic in the size of a group."""
-        x, y = (self.lists.select("t", "b", F.col("node").alias(p), F.col("home").alias(f"h{p}")) for p in "az")
-        return self._verified(x.join(y, ["t", "b"]).filter("a < z and (ha or hz)").select("a", "z").distinct())
+        """Every verified pair of nodes that shares a bucket: as many rows as there are pairs, so quadratic in the size of a group."""
+        return self._verified(self.ws.save(self._pairs(self.lists)))
 
     def close(self) -> None:
         self.ws.close()
