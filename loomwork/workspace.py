@@ -10,6 +10,7 @@ its results are written.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,6 +33,25 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def opened(uri: str):
+    """A file opened by its URI in a task, through Arrow's file systems: local and shared folders, and the stores that they know."""
+    from pyarrow import fs
+
+    system, where = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", uri))
+    return system.open_input_file(where)
+
+
+def openable(path: str) -> bool:
+    """Whether ``opened`` knows the store of a path."""
+    from pyarrow import fs
+
+    try:
+        fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
 class Workspace:
     """A folder of written tables for one run of one operator."""
 
