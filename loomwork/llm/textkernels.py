@@ -55,7 +55,7 @@ def chunks(texts: list[bytes], limit: int = CHUNK_BYTES, max_texts: int = 4096)
 
 def class_table(kind: str) -> np.ndarray:
     """``space``: words are runs of bytes that are not ASCII white space.
-    ``word``: words are runs of ASCII letters, digits and all bytes of non-ASCII characters."""
+    ``word``: words are runs of ASCII letters, digits and all bytes of non-ASCII characters, but for punctuation and spaces."""
     table = np.ones(256, dtype=bool)
     if kind == "space":
         table[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = False
@@ -67,14 +67,46 @@ def class_table(kind: str) -> np.ndarray:
 
 
 _TABLES = {k: class_table(k) for k in ("space", "word")}
+#: Scripts written without spaces between words (Thai, Lao, Burmese, Khmer, kana, Chinese characters): each character is a word.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+#: Punctuation and spaces of Unicode's general, CJK and full-width blocks, which separate words of kind ``word``.
+_SEPARATORS = ((0x2000, 0x206F), (0x3000, 0x303F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+_LATIN_LETTERS = (0xAA, 0xB5, 0xBA)  # the letters among U+00A0 to U+00BF
+
+
+def _within(code: np.ndarray, ranges) -> np.ndarray:
+    out = np.zeros(len(code), dtype=bool)
+    for a, b in ranges:
+        out |= (code >= a) & (code <= b)
+    return out
 
 
 def spans(buffer: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every word of the buffer."""
-    inside = np.zeros(len(buffer) + 2, dtype=np.int8)
+    """Start and end of every word of the buffer. Characters of unspaced scripts are words of their own."""
+    inside = np.zeros(len(buffer) + 2, dtype=bool)
     inside[1:-1] = _TABLES[kind][buffer]
-    edge = np.diff(inside)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if kind == "word" and len(at := np.flatnonzero(buffer[:-1] == 0xC2)):
+        low = buffer[at + 1]
+        at = at[(low < 0xC0) & ~np.isin(low, _LATIN_LETTERS)]
+        inside[at + 1] = inside[at + 2] = False
+    lead = np.flatnonzero(buffer >= 0xE0)
+    solo = size = lead[:0]
+    if len(lead):
+        padded = np.concatenate((buffer, np.zeros(3, np.uint8)))
+        b = [padded[lead + i].astype(np.uint32) for i in range(4)]
+        four = b[0] >= 0xF0
+        tail = (b[1] & 63) << 6 | b[2] & 63
+        code = np.where(four, (b[0] & 7) << 18 | tail << 6 | b[3] & 63, (b[0] & 15) << 12 | tail)
+        own = _within(code, UNSPACED)
+        solo, size = lead[own], np.where(four, 4, 3)[own]
+        if kind == "word":
+            for at in lead[_within(code, _SEPARATORS)]:
+                inside[at + 1 : at + 4] = False
+    begins = inside[1:] & ~inside[:-1]
+    if len(solo):
+        begins[solo] = True
+        begins[solo + size] |= inside[1:][solo + size]
+    return np.flatnonzero(begins), np.flatnonzero(inside[:-1] & (~inside[1:] | begins))
 
 
 def hash_prefix(buffer: np.ndarray) -> np.ndarray:
@@ -93,16 +125,20 @@ def span_hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return prefix_hashes(hash_prefix(buffer), start, end)
 
 
+def word_prefix(words: np.ndarray) -> np.ndarray:
+    """Sums of a polynomial over the word hashes before each place: the hash of any run of words is a difference of two of them."""
+    prefix = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * _pow(_P, len(words), "p"), out=prefix[1:])
+    return prefix
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Rolling hashes of every n consecutive words."""
     m = len(words) - n + 1
     if m <= 0:
         return np.zeros(0, dtype=np.uint64)
-    h = np.zeros(m, dtype=np.uint64)
-    for k in range(n):
-        h *= _MUL
-        h += words[k : k + m]
-    return mix64(h)
+    at = np.arange(m)
+    return prefix_hashes(word_prefix(words), at, at + n)
 
 
 def encode(texts, lower: bool = False) -> list[bytes]:
