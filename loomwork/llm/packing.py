@@ -5,28 +5,41 @@ once; the underfull ones become items themselves and are merged up a tree, ``fan
 again, until one partition is left. Only underfull bins move, and of them only ids and lengths; each round is
 written to the shared folder.
 
-The length of a document is its number of words (runs of anything but white space), or of tokens, if the path of a
-vocabulary for ``tokenizers`` is given. A document longer than the capacity is split into pieces of the capacity,
+Best fit leaves at most one bin of a task half full or less; all others are beyond half, so none of them fits another, and a merge needs one of
+those few small bins. Bins that cannot be of use above are therefore emitted where they are: those whose room is less than the least
+other bin's fill, and of the bins beyond half all but the ``SPARE * fan_in`` with the most room, more than there are small bins to come from
+the siblings of SPARE levels. What a task gets is bound by fan_in alone, the root's too, and no merge is lost.
+
+The length of a document is its number of words (runs of anything but white space; characters in scripts without spaces), or of tokens, if
+the path of a vocabulary for ``tokenizers`` is given. A document longer than the capacity is split into pieces of the capacity,
 each a full bin, and a rest. Documents of length 0 (null, empty, blank) have nothing to pack and are in no bin. Every
-row is an item of its own, repeated rows too; a null id is listed as null. Ties go by id and start. Which items share
-a bin depends on the partitions; that every item is in one bin once, and no bin beyond the capacity, does not.
+row is an item of its own, repeated rows too; a null id is listed as null. Ids are of any type with an order. Ties go by id and start. Which
+items share a bin depends on the partitions; that every item is in one bin once, and no bin beyond the capacity, does not.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.columns import col, kind
 from loomwork.llm.textkernels import spans
 from loomwork.workspace import Workspace
 
-SCHEMA = "bin_id long, part int, fill int, done boolean, doc_ids array<long>, starts array<long>, lengths array<int>"
+_WORD = ~np.isin(np.arange(256), (9, 10, 11, 12, 13, 28, 29, 30, 31, 32))
+#: Levels of the tree that the bins kept for later merges suffice for: fan_in ** 8 partitions.
+SPARE = 8
+
+
+def _schema(kind: str) -> str:
+    return f"bin_id long, part int, fill int, done boolean, doc_ids array<{kind}>, starts array<long>, lengths array<int>"
 
 
 class BestFit:
@@ -71,7 +84,7 @@ def _word_counts(texts: pa.Array) -> np.ndarray:
     step = 256
     for a in range(0, len(texts), step):
         o = offsets[a : a + step + 1]
-        # a word that runs over the border of two texts counts in both: each text starts a word anew
+        # a word that runs over the border of two texts counts in both: each text starts a word anew, unless one begins there anyhow
         part = raw[o[0] : o[-1]]
         start, _ = spans(part, "space")
         rel = o - o[0]
@@ -80,9 +93,11 @@ def _word_counts(texts: pa.Array) -> np.ndarray:
         ok = (inner > 0) & (inner < len(part)) & (rel[2:] > inner)
         joined = np.zeros(len(inner), dtype=bool)
         at = inner[ok]
-        word = ~np.isin(part, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32)) if len(at) else None
+        word = _WORD[part] if len(at) else None
         if len(at):
-            joined[ok] = word[at] & word[at - 1]
+            begins = np.zeros(len(part), dtype=bool)
+            begins[start] = True
+            joined[ok] = word[at] & word[at - 1] & ~begins[at]
         n[1:] += joined
         out[a : a + step] = n
     return out
@@ -98,67 +113,89 @@ def _counter(tokenizer: str | None):
     return lambda texts: np.array([len(x.ids) for x in t.encode_batch(["" if x is None else x for x in texts.to_pylist()], add_special_tokens=False)], dtype=np.int64)
 
 
-def _rows(fit: BestFit, first_id: int, part: int, least: int) -> pa.RecordBatch:
-    ids, starts, lengths = [], [], []
-    for b in fit.bins:
-        ids.append([x[0] for x in b])
-        starts.append([x[1] for x in b])
-        lengths.append([x[2] for x in b])
-    n = len(fit.bins)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(n, dtype=np.int64) + first_id), pa.array(np.full(n, part, np.int32)), pa.array(fit.fill, pa.int32()), pa.array([f >= least for f in fit.fill], pa.bool_()), pa.array(ids, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int64())), pa.array(lengths, pa.list_(pa.int32()))],
-        names=["bin_id", "part", "fill", "done", "doc_ids", "starts", "lengths"],
-    )
+def _done(fill: np.ndarray, capacity: int, least: int, spare: int) -> np.ndarray:
+    """Which bins of a task need not go up: nearly full ones, and of those beyond half all but the roomiest ``spare``."""
+    done = fill >= least
+    large = np.flatnonzero(~done & (2 * fill > capacity))
+    done[large[np.argsort(fill[large], kind="stable")[spare:]]] = True
+    return done
+
 
+def _bins(first_id: int, part: int, fill: np.ndarray, done: np.ndarray, lists: list[pa.Array]) -> list[pa.Array]:
+    return [pa.array(np.arange(len(fill), dtype=np.int64) + first_id), pa.array(np.full(len(fill), part, np.int32)), pa.array(fill.astype(np.int32)), pa.array(done), *lists]
 
-def _local(capacity: int, least: int, tokenizer: str | None):
+
+_NAMES = ["bin_id", "part", "fill", "done", "doc_ids", "starts", "lengths"]
+
+
+def _local(capacity: int, least: int, spare: int, tokenizer: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), _counter(tokenizer)
-        items: list[tuple[int, int, int]] = []
+        items: list[tuple] = []
+        of = pa.int64()
         for batch in batches:
+            of = batch.schema.field(0).type
             for i, n in zip(batch.column(0).to_pylist(), count(batch.column(1)).tolist()):
                 for start in range(0, n, capacity):
                     items.append((i, start, min(capacity, n - start)))
-        items.sort(key=lambda x: (-x[2], x[0] is None, x[0], x[1]))
+        items.sort(key=lambda x: (-x[2], x[0] is None, x[0] if x[0] is not None else 0, x[1]))
         fit = BestFit(capacity)
         for x in items:
             fit.add(x[2], x)
         if fit.bins:
-            yield _rows(fit, part << 32, part, least)
+            fill = np.array(fit.fill, dtype=np.int64)
+            at = pa.array(np.concatenate(([0], np.cumsum([len(b) for b in fit.bins]))).astype(np.int32))
+            flat = [[x[k] for b in fit.bins for x in b] for k in range(3)]
+            lists = [pa.ListArray.from_arrays(at, pa.array(v, t)) for v, t in zip(flat, (of, pa.int64(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays(_bins(part << 32, part, fill, _done(fill, capacity, least, spare), lists), names=_NAMES)
 
     return run
 
 
-def _merge(capacity: int, least: int, level: int, last: bool):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["fill", "bin_id"], ascending=[False, True], kind="stable")
+def _merge(capacity: int, least: int, spare: int, level: int, last: bool):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        fills, ids = rows.column("fill").to_numpy(), rows.column("bin_id").to_numpy()
         fit = BestFit(capacity)
-        for r in zip(rows.fill.tolist(), rows.doc_ids, rows.starts, rows.lengths):
-            fit.add(r[0], r[1:])
-        part = int(rows["__g"].iloc[0])
-        joined = [[[v for x in b for v in x[k]] for b in fit.bins] for k in range(3)]
-        done = [last or f >= least for f in fit.fill]
-        return pd.DataFrame({"bin_id": [(level << 56) | (part << 32) | i for i in range(len(fit.bins))], "part": part, "fill": fit.fill, "done": done, "doc_ids": joined[0], "starts": joined[1], "lengths": joined[2]})
+        for i in np.lexsort((ids, -fills)).tolist():
+            fit.add(int(fills[i]), i)
+        part, fill = int(rows.column("__g")[0].as_py()), np.array(fit.fill, dtype=np.int64)
+        order = pa.array([i for b in fit.bins for i in b], pa.int64())
+        ends = np.cumsum([len(b) for b in fit.bins])
+        lists = []
+        for name in _NAMES[4:]:
+            taken = rows.column(name).combine_chunks().take(order)
+            taken = taken.chunk(0) if isinstance(taken, pa.ChunkedArray) else taken
+            at = np.concatenate(([0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False))))[np.concatenate(([0], ends))]
+            lists.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), taken.flatten()))
+        done = np.ones(len(fill), dtype=bool) if last else _done(fill, capacity, least, spare)
+        return pa.Table.from_arrays(_bins((level << 56) | (part << 32), part, fill, done, lists), names=_NAMES)
 
     return run
 
 
 def pack(docs: DataFrame, capacity: int = 2048, full: float = 0.98, fan_in: int = 16, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """One row a bin: bin_id, fill, n_items, and the lists doc_ids, starts and lengths of its pieces, in words."""
-    ws, least = Workspace(docs.sparkSession, "pack"), int(np.ceil(full * capacity))
-    now = ws.save(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_local(capacity, least, tokenizer), SCHEMA))
+    ws, least, spare = Workspace(docs.sparkSession, "pack"), int(np.ceil(full * capacity)), SPARE * fan_in
+    schema = _schema(kind(docs, doc_id).simpleString())
+    now = ws.save(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).mapInArrow(_local(capacity, least, spare, tokenizer), schema))
     out, level = [now.filter("done")], 0
     while True:
         level += 1
         left = now.filter("not done")
+        two = [r.fill for r in left.select("fill").orderBy("fill").limit(2).collect()]
+        if not two:
+            break
+        # a bin that doesn't fit the least other one fits none
+        other = F.when(F.col("fill") == two[0], two[-1] if len(two) > 1 else capacity + 1).otherwise(two[0])
+        dead = F.col("fill") + other > capacity
+        out.append(left.filter(dead))
+        left = left.filter(~dead)
         top = left.agg(F.max("part").alias("m")).first().m
         if top is None:
             break
-        last = top < fan_in
         grouped = left.withColumn("__g", F.floor(F.col("part") / fan_in).cast("int")).groupBy("__g")
-        now = ws.save(grouped.applyInPandas(_merge(capacity, least, level, last), SCHEMA))
+        now = ws.save(grouped.applyInArrow(_merge(capacity, least, spare, level, top < fan_in), schema))
         out.append(now.filter("done"))
-    bins = out[0]
-    for more in out[1:]:
-        bins = bins.unionByName(more)
+    bins = functools.reduce(DataFrame.unionByName, out)
     return bins.select("bin_id", "fill", F.size("doc_ids").alias("n_items"), "doc_ids", "starts", "lengths")
