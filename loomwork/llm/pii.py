@@ -2,7 +2,10 @@
 
 Kinds: e-mail addresses, telephone numbers, payment cards, IPv4 and IPv6 addresses, social-security numbers, IBANs,
 secrets (assigned to a name such as token or password, with a known prefix, or of 32 hex digits and more) and names of
-persons (a listed given name or a form of address before a capitalised surname, in Latin, Cyrillic or Greek script).
+persons. A name is a listed given name or a form of address before a capitalised surname, or capitalised words after a label such as
+"Name:" or "my name is", in Latin, Cyrillic or Greek script. A name that a document has once is replaced wherever it stands there in
+capitals or with a capital first, alone too. Spans have no greatest length: a secret is replaced to its end. What is read before a
+value is as long as the longest keyword and any white space; assigned passwords have four characters at least, other secrets six.
 
 A value's surrogate is drawn by HMAC-SHA256 from the key, the kind and the canonical value (digits of a number, lower
 case of an address or name), so every mention of it anywhere becomes the same, in the mention's own format: layout of
@@ -13,16 +16,17 @@ an e-mail address keeps its top-level domain.
 
 Collision checks: the distinct canonical values of the corpus are gathered, and as long as two values of a kind have
 one surrogate or a surrogate is itself a value of the corpus, all but the least such value are drawn anew. The few
-values drawn more than once are handed to the second pass over the texts, by broadcast up to ``broadcast_rows``
-values and beyond that by a join on the hash of the text. From the ninth draw on a surrogate is longer than its value,
-so a domain that is too small can't stop it.
+values drawn more than once are handed to the second pass over the texts as hashes of 16 bytes: by broadcast up to ``broadcast_rows``
+of them (some MB), beyond that by a join on the hash of the text, with the same result. From the ninth draw on a surrogate is longer than
+its value, so a domain that is too small can't stop it.
 
 Null texts stay null and empty ones empty; texts without entities come out as they are. Repeated rows get the same
-replacements. Other columns are passed through, whatever their names; an empty table stays empty.
+replacements. Other columns are passed through, whatever their names (dots too) and types; an empty table stays empty.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import hmac
@@ -31,13 +35,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.columns import col
 from loomwork.llm import names
 from loomwork.workspace import Workspace
 
-_DOMAIN = re.compile(r"@((?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z]{2,24})(?![A-Za-z0-9])")
+_DOMAIN = re.compile(r"@((?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,})(?!\w)")
 _NUMBER = re.compile(r"(?:\+ ?|\()?\d")
 _DIGITS = re.compile(r"\d+")
 _PHONES = [
@@ -56,19 +61,23 @@ _IP4 = re.compile(r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4
 _SSN = re.compile(r"\d{3}-\d{2}-\d{4}(?![\d-])")
 _CARD = re.compile(r"(?:\d{13,19}|\d{4}(?:([ -])\d{4})(?:\1\d{4}){2}(?:\1\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?![\d])")
 _ASSIGN = re.compile(r"[:=]")
-_VALUE = re.compile(r"""[:=]{1,2}[>]?[ \t]*(?:Bearer )?(["'`]?)([A-Za-z0-9+/_=.~!@$%^&*-]{6,}+)\1""")
-_BEGUN = re.compile(_VALUE.pattern.removesuffix(r",}+)\1") + "})")
-_KEYWORD = re.compile(r"""(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|credential|client[_-]?id)s?["'`]?[ \t]*\Z""")
+_LEAD = re.compile(r"[:=]{1,2}>?[ \t]*(?:Bearer )?")
+_QUOTED = re.compile(r"""(["'`])((?:(?!\1)[^\n])*+)\1""")
+_BARE = re.compile(r"""[^\s"'`,;<>(){}\[\]]*+""")
+_KEYWORD = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|credential|client[_-]?id)s?\Z")
+_KEYWORD_CHARS = 24  # the longest keyword and more
+_KEYWORD_PARTS = ("token", "secret", "passw", "passphrase", "pwd", "key", "auth", "credential", "client")
 _PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "sk-", "sk_live_", "pk_live_", "xox", "glpat-", "AIza", "eyJ")
 _PREFIXED = re.compile(r"(?<![A-Za-z0-9])(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|sk-|sk_live_|pk_live_|xox[abprs]-|glpat-|AIza|eyJ)[A-Za-z0-9_.=-]{16,}+")
 _KEYBLOCK = re.compile(r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)([A-Za-z0-9+/=\s]+)(-----END [A-Z ]*PRIVATE KEY-----)")
-_WORDCHARS = re.compile(r"[A-Za-z0-9]*\Z")
 _WORDCHARS_ON = re.compile(r"[A-Za-z0-9]*")
 _HEX = re.compile(r"[0-9a-f]{32,}\Z|[0-9A-F]{32,}\Z")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _IP6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![0-9A-Fa-f:])")
 _CAPS = re.compile(r"[A-ZÀ-ÖØ-ÞΑ-ΫЀ-Я]")
 _FIRST = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
+_CAPITALISED = re.compile(r"[A-ZÀ-ÖØ-ÞΑ-ΫЀ-Я][^\W\d_]*")
+_LABEL = re.compile(r"(?:\b(?:[Nn]ame|NAME|[Aa]uthor|AUTHOR|[Cc]ontact|CONTACT|[Ss]igned|[Ss]ender|[Pp]atient|[Ee]mployee|[Rr]ecipient|[Aa]ttn)[ \t]*:[ \t]*|\b[Mm]y name is )(?=[^\W\d_])")
 _MORE = re.compile(r"(\.?)[ \u00a0]([^\W\d_]+(?:['’-][^\W\d_]+)*)")
 
 Span = tuple[int, int, str, str]  # start, end, kind, canonical value
@@ -97,12 +106,32 @@ def _emails(t: str, out: list[Span]) -> None:
             out.append((a, m.end(), "email", t[a : m.end()].lower()))
 
 
+def _assigned(t: str, i: int, password: bool) -> tuple[int, int] | None:
+    """The value that the sign at ``i`` assigns: quoted, or up to white space or a mark that ends it. Only passwords may have spaces."""
+    at = _LEAD.match(t, i).end()
+    if (q := _QUOTED.match(t, at)) and (password or not re.search(r"\s", q[2])):
+        a, b = q.span(2)
+    elif q:
+        return None
+    else:
+        b = _BARE.match(t, a := at + (t[at : at + 1] in ('"', "'", "`"))).end()
+    return (a, b) if b - a >= (4 if password else 6) else None
+
+
 def _secrets(t: str, out: list[Span]) -> None:
     end = 0  # what begins within a value is part of it and isn't read again
-    for m in _ASSIGN.finditer(t):
-        if _KEYWORD.search(t, max(0, m.start() - 40), m.start()) and (b := _BEGUN.match(t, m.start())) and b.start(2) >= end and (v := _VALUE.match(t, m.start())):
-            out.append((v.start(2), v.end(2), "secret", v[2]))
-            end = v.end(2)
+    if (":" in t or "=" in t) and any(k in low for low in [t.lower()] for k in _KEYWORD_PARTS):
+        for m in _ASSIGN.finditer(t):
+            if (i := m.start()) < end:
+                continue
+            e = i
+            while e > end and t[e - 1] in " \t":
+                e -= 1
+            e -= t[e - 1 : e] == "]"
+            e -= t[e - 1 : e] in ('"', "'", "`")
+            if (k := _KEYWORD.search(t, max(0, e - _KEYWORD_CHARS), e)) and (v := _assigned(t, i, k[0][:1] in "pP" and k[0][:2] not in ("pr", "Pr", "PR"))):
+                out.append((*v, "secret", t[v[0] : v[1]]))
+                end = v[1]
     if any(p in t for p in _PREFIXES):
         out += [(m.start(), m.end(), "secret", m[0]) for m in _PREFIXED.finditer(t)]
     if "PRIVATE KEY-----" in t:
@@ -113,7 +142,9 @@ def _numbers(t: str, out: list[Span]) -> None:
     at = 0
     while m := _NUMBER.search(t, at):
         s = m.start()
-        left = _WORDCHARS.search(t, max(0, s - 64), s).start() if m[0].isdigit() else s
+        left = s
+        while m[0].isdigit() and left > at and t[left - 1].isascii() and t[left - 1].isalnum():
+            left -= 1
         if left < s or (m[0].isdigit() and s + 1 < len(t) and t[s + 1].isalpha()):
             right = _WORDCHARS_ON.match(t, s).end()
             word = t[left:right]
@@ -158,7 +189,7 @@ def _named(t: str, at: int) -> list[tuple[int, str]]:
     words: list[tuple[int, str]] = []
     dotted, last = True, False
     while m := _MORE.match(t, at):
-        w = m[2]
+        w = m[2].removesuffix("'s").removesuffix("’s")
         if m[1] and not dotted:
             break
         if len(w) == 1 and w.isupper():
@@ -175,7 +206,31 @@ def _named(t: str, at: int) -> list[tuple[int, str]]:
     return words
 
 
+def _canonical(word: str, given: bool, gender: str) -> str:
+    return f"{names.script(word)}:{names.gender_of(word) if given else names.surname_gender(word, gender)}:{word.casefold()}"
+
+
 def _persons(t: str, out: list[Span]) -> None:
+    if not names.FIRSTS.isdisjoint(_CAPITALISED.findall(t)):
+        _listed(t, out)
+    for m in _LABEL.finditer(t) if ":" in t or "name is" in t else ():
+        first = _FIRST.match(t, m.end())
+        if not first or names.is_title(first[0]) or not names.capital(first[0]) or any(a <= m.end() < b for a, b, *_ in out):
+            continue
+        words = _named(t, first.end())
+        for k, (a, w) in enumerate([(m.end(), first[0]), *words] if words else []):
+            given = bool(names.gender_of(w)) and k < len(words)
+            out.append((a, a + len(w), "given" if given else "surname", _canonical(w, given, "")))
+    known = {t[a:b].casefold(): (kind, value) for a, b, kind, value in reversed(out)}
+    if known:  # every further mention of a word that is a name in this text
+        at = {a for a, *_ in out}
+        words = sorted({t[a:b] for a, b, *_ in out}, key=lambda w: (-len(w), w))
+        again = re.compile(r"(?<![^\W_])(?:" + "|".join(map(re.escape, words)) + r")(?![^\W_])", re.IGNORECASE)
+        out += [(m.start(), m.end(), *known[m[0].casefold()]) for m in again.finditer(t) if m.start() not in at and names.capital(m[0]) and m[0].casefold() in known]
+
+
+def _listed(t: str, out: list[Span]) -> None:
+    """Names that begin with a listed given name or a form of address."""
     at = 0
     while m := _CAPS.search(t, at):
         s = m.start()
@@ -195,8 +250,8 @@ def _persons(t: str, out: list[Span]) -> None:
         else:
             words, gender = [(s, first), *words], names.gender_of(first)
         for k, (a, w) in enumerate(words):
-            given = names.gender_of(w) and k < len(words) - 1
-            out.append((a, a + len(w), "given" if given else "surname", f"{names.script(w)}:{names.gender_of(w) if given else names.surname_gender(w, gender)}:{w.casefold()}"))
+            given = bool(names.gender_of(w)) and k < len(words) - 1
+            out.append((a, a + len(w), "given" if given else "surname", _canonical(w, given, gender)))
         at = words[-1][0] + len(words[-1][1])
 
 
@@ -204,20 +259,21 @@ def find(t: str | None) -> list[Span]:
     """Entities of a text in order, none overlapping: of overlapping ones the first kind below wins."""
     if not t:
         return []
-    found: list[Span] = []
     kinds: list[list[Span]] = []
-    for part, wanted in ((_secrets, ":" in t or "=" in t or any(p in t for p in _PREFIXES)), (_emails, "@" in t), (_numbers, True), (_persons, True)):
+    for part, wanted in ((_secrets, ":" in t or "=" in t or any(p in t for p in _PREFIXES)), (_emails, "@" in t), (_numbers, _DIGITS.search(t)), (_persons, True)):
         one: list[Span] = []
         if wanted:
             part(t, one)
         kinds.append(one)
     if t.count(":") > 3:
         kinds.insert(2, [(m.start(), m.end(), "ipv6", m[0].lower()) for m in _IP6.finditer(t) if m[0].count(":") >= 3])
+    found: list[Span] = []
     for one in kinds:
         for x in one:
-            if not any(x[0] < y[1] and y[0] < x[1] for y in found):
-                found.append(x)
-    return sorted(found)
+            i = bisect.bisect(found, x)
+            if (not i or found[i - 1][1] <= x[0]) and (i == len(found) or x[1] <= found[i][0]):
+                found.insert(i, x)
+    return found
 
 
 class _Draw:
@@ -234,7 +290,7 @@ class _Draw:
         return x % m
 
 
-_LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 
 def _shape(s: str, d: _Draw, hexes: bool = False) -> str:
@@ -244,10 +300,10 @@ def _shape(s: str, d: _Draw, hexes: bool = False) -> str:
             out.append(str(d.below(10)) if not hexes else "0123456789abcdef"[d.below(16)] if s == s.lower() else "0123456789ABCDEF"[d.below(16)])
         elif hexes and c in "abcdefABCDEF":
             out.append(("0123456789abcdef" if c.islower() or s == s.lower() else "0123456789ABCDEF")[d.below(16)])
-        elif c.isascii() and c.isalpha():
-            out.append((_LOWER if c.islower() else _UPPER)[d.below(26)])
         elif c.isalpha():
-            out.append(_LOWER[d.below(26)] if c.islower() else _UPPER[d.below(26)])
+            letters = _LETTERS[names.script(c)]
+            drawn = letters[d.below(len(letters))]
+            out.append(drawn.upper() if c.isupper() else drawn)
         else:
             out.append(c)
     return "".join(out)
@@ -311,13 +367,17 @@ def render(mention: str, kind: str, canonical: str) -> str:
     return canonical
 
 
-def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, int]:
+def tag(kind: str, value: str) -> str:
+    return hashlib.md5(f"{kind}\0{value}".encode("utf-8", "replace")).hexdigest()
+
+
+def replace(text: str | None, key: bytes, attempts: dict[str, int]) -> tuple[str | None, int]:
     spans = find(text)
     if not spans:
         return text, 0
     out, at = [], 0
     for a, b, kind, value in spans:
-        out += [text[at:a], render(text[a:b], kind, surrogate(key, kind, value, attempts.get((kind, value), 0) if attempts else 0))]
+        out += [text[at:a], render(text[a:b], kind, surrogate(key, kind, value, attempts.get(tag(kind, value), 0) if attempts else 0))]
         at = b
     return "".join([*out, text[at:]]), len(spans)
 
@@ -361,40 +421,37 @@ def resolve(values: DataFrame, key: bytes, ws: Workspace, max_rounds: int = 64)
 def replaced(docs: DataFrame, key: bytes, text: str = "text", broadcast_rows: int = 200_000) -> DataFrame:
     """``docs`` with the entities of ``text`` replaced and a column __lw_n, their number."""
     ws = Workspace(docs.sparkSession, "pii")
-    found = entities(docs.select(F.col(text).alias("text")))
+    body = col(text)
+    found = entities(docs.select(body.alias("text")))
     values = ws.save(found.select("kind", "value").distinct())
-    odd = ws.save(resolve(values, key, ws))
+    odd = ws.save(resolve(values, key, ws).withColumn("tag", F.md5(F.concat("kind", F.lit("\0"), "value"))))
     n = odd.count()
-    none = n == 0
     if n <= broadcast_rows:
-        attempts = {(r.kind, r.value): r.attempt for r in odd.collect()}
-        held = docs.sparkSession.sparkContext.broadcast(attempts)
-        joined, extra = docs, F.lit(None).cast("array<struct<kind:string,value:string,attempt:int>>")
+        held = docs.sparkSession.sparkContext.broadcast({r.tag: r.attempt for r in odd.select("tag", "attempt").collect()})
+
+        @F.pandas_udf("text string, n int")
+        def swap(texts: pd.Series) -> pd.DataFrame:
+            return _swapped(texts, key, (held.value for _ in texts))
+
+        done = docs.withColumn("__lw_pii", swap(body))
     else:
-        own = found.join(odd, ["kind", "value"]).groupBy("th").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__lw_odd"))
-        joined = docs.join(own.withColumnRenamed("th", "__lw_th"), F.xxhash64(F.col(text)) == F.col("__lw_th"), "left")
-        held, extra = None, F.col("__lw_odd")
+        own = found.join(odd, ["kind", "value"]).groupBy("th").agg(F.collect_list(F.struct("tag", "attempt")).alias("__lw_odd"))
 
-    @F.pandas_udf("text string, n int")
-    def swap(texts: pd.Series) -> pd.DataFrame:
-        return _swapped(texts, None)
+        @F.pandas_udf("text string, n int")
+        def swap_odd(texts: pd.Series, odds: pd.Series) -> pd.DataFrame:
+            return _swapped(texts, key, ({} if o is None else {x["tag"]: x["attempt"] for x in o} for o in odds))
 
-    @F.pandas_udf("text string, n int")
-    def swap_odd(texts: pd.Series, odds: pd.Series) -> pd.DataFrame:
-        return _swapped(texts, odds)
+        joined = docs.join(own.withColumnRenamed("th", "__lw_th"), F.xxhash64(body) == F.col("__lw_th"), "left")
+        done = joined.withColumn("__lw_pii", swap_odd(body, F.col("__lw_odd")))
+    return done.select(*[F.col("__lw_pii.text").alias(c) if c == text else col(c) for c in docs.columns], F.col("__lw_pii.n").alias("__lw_n"))
 
-    def _swapped(texts, odds) -> pd.DataFrame:
-        common = held.value if held is not None and not none else {}
-        own = ({} for _ in texts) if odds is None else ({(x["kind"], x["value"]): x["attempt"] for x in o} if o is not None else {} for o in odds)
-        got = [replace(t, key, o or common) for t, o in zip(texts, own)]
-        return pd.DataFrame({"text": pd.Series([x[0] for x in got], dtype=object), "n": [x[1] for x in got]})
 
-    use: Column = swap(F.col(text)) if held is not None else swap_odd(F.col(text), extra)
-    done = joined.withColumn("__lw_pii", use)
-    return done.select(*[F.col("__lw_pii.text").alias(c) if c == text else F.col(c) for c in docs.columns], F.col("__lw_pii.n").alias("__lw_n"))
+def _swapped(texts: pd.Series, key: bytes, attempts) -> pd.DataFrame:
+    got = [replace(t, key, o) for t, o in zip(texts, attempts)]
+    return pd.DataFrame({"text": pd.Series([x[0] for x in got], dtype=object), "n": [x[1] for x in got]})
 
 
 def pseudonymise(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """Columns doc_id, text (with surrogates), n_entities: one row for each row of ``docs``."""
-    got = replaced(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), key, **params)
+    got = replaced(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")), key, **params)
     return got.select("doc_id", "text", F.col("__lw_n").alias("n_entities"))
