@@ -11,7 +11,7 @@ A document of a source with e epochs is repeated floor(e) times, and once more w
 (of the text, where the id is null) is below the fraction of e. Sources without a weight, the null source
 among them, have ``default_weight``. Null texts count as empty; a source without characters, or of weight 0, gets no
 epochs. Where all caps together are below the budget, every source has ``max_epochs``. Repeated rows are drawn
-alike. Empty tables give empty results.
+alike. Empty tables give empty results. Other columns are passed through, whatever their names (dots too) and types.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.columns import col, cols
 from loomwork.workspace import Workspace
 
 
@@ -31,7 +32,7 @@ def _weight(source: Column, weights: dict[str, int], default: int) -> Column:
 
 def epochs(docs: DataFrame, weights: dict[str, int], default_weight: int = 1, budget: float = 1.0, max_epochs: int = 2, source: str = "source", text: str = "text") -> DataFrame:
     """Columns source, chars, epochs: one row for each source. The scan aggregates lengths only."""
-    sizes = docs.groupBy(F.col(source).alias("source")).agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("chars"))
+    sizes = docs.groupBy(col(source).alias("source")).agg(F.coalesce(F.sum(F.length(col(text))), F.lit(0)).alias("chars"))
     s = sizes.withColumn("w", _weight(F.col("source"), weights, default_weight)).withColumn("cap", F.col("chars") * max_epochs)
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = s.withColumn("want", F.floor(F.sum("chars").over(everything) * F.lit(float(budget))))
@@ -60,15 +61,15 @@ def mix(docs: DataFrame, weights: dict[str, int], default_weight: int = 1, budge
     ws = Workspace(docs.sparkSession, "mix")
     plan = ws.save(epochs(docs, weights, default_weight, budget, max_epochs, source, text).select(F.col("source").alias("__lw_source"), F.col("epochs").alias("__lw_epochs")))
     e = F.col("__lw_epochs")
-    times = F.floor(e) + (draw(F.col(doc_id), F.col(text), seed) < e - F.floor(e)).cast("int")
-    joined = docs.join(plan, F.col(source).eqNullSafe(F.col("__lw_source")))
+    times = F.floor(e) + (draw(col(doc_id), col(text), seed) < e - F.floor(e)).cast("int")
+    joined = docs.join(plan, col(source).eqNullSafe(F.col("__lw_source")))
     out = joined.withColumn("__lw_times", times.cast("int")).filter("__lw_times > 0")
     out = out.withColumn("__lw_epoch", F.explode(F.sequence(F.lit(1), F.col("__lw_times"))))
-    return out.select(*docs.columns, *([F.col("__lw_epoch").alias(epoch)] if epoch else []))
+    return out.select(*cols(docs), *([F.col("__lw_epoch").alias(epoch)] if epoch else []))
 
 
 def mix_sql(weights: dict[str, int], default_weight: int, budget: float, max_epochs: int, seed: int) -> str:
-    """DuckDB SQL for doc_id, source and epoch of ``mix`` over documents."""
+    """DuckDB SQL for ``mix`` over documents, with the column epoch."""
     case = " ".join(f"when source = '{k}' then {w}" for k, w in sorted(weights.items()))
     return f"""
 with s as (select source, coalesce(sum(length(text)), 0)::bigint as chars, (case {case} else {default_weight} end)::bigint as w from documents group by source),
@@ -78,6 +79,6 @@ l as (select *, case when live then (want - coalesce(sum(case when live then cap
   / ((sum(case when live then w else 0 end) over ()) - coalesce(sum(case when live then w else 0 end) over (order by r rows between unbounded preceding and 1 preceding), 0))::double end as level from o),
 m as (select *, max(case when level * w <= cap then level end) over () as water from l),
 e as (select source, case when not live then 0.0::double when water is null then {max_epochs}::double else least(cap::double, water * w) / chars end as epochs from m),
-d as (select doc_id, d.source, floor(epochs)::int + ((('0x' || substr(md5('{seed}:' || coalesce(doc_id::varchar, md5(text), '')), 1, 8))::bigint / 4294967296.0::double) < epochs - floor(epochs))::int as times
+d as (select d.*, floor(epochs)::int + ((('0x' || substr(md5('{seed}:' || coalesce(doc_id::varchar, md5(text), '')), 1, 8))::bigint / 4294967296.0::double) < epochs - floor(epochs))::int as times
   from documents d join e on d.source is not distinct from e.source)
-select doc_id, source, unnest(range(1, times + 1))::int as epoch from d where times > 0"""
+select * exclude (times), unnest(range(1, times + 1))::int as epoch from d where times > 0"""

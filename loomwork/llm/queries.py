@@ -25,7 +25,7 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source"), **MIX, epoch="epoch").select("doc_id", "source", "epoch")
+    return mixing.mix(_table(spark, sf, "documents"), **MIX, epoch="epoch")
 
 
 def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,8 @@ def op9_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
-    return warc.pages_of(warc.archived(_table(spark, sf, "pages"))).select("page_id", "url", "status", "html")
+    """The archive of all pages and, for every tenth, a spoilt twin of its record, so that every status occurs."""
+    return warc.pages_of(warc.archived(_table(spark, sf, "pages"), damaged=True)).select("page_id", "url", "status", "html")
 
 
 _OWN = (op1_quality_rules, op2_packing, op3_quality_classifier, op4_mixing, op5_minhash, op6_pii, op7_sharding, op8_language_id, op9_embedding_dedup, op10_warc)
@@ -57,5 +58,5 @@ QUERIES = {f.__name__: f for f in _OWN}
 SQL: dict[str, str] = {
     "op1_quality_rules": rules.repetition_sql(),
     "op4_mixing": mixing.mix_sql(**MIX),
-    "op10_warc": "select page_id, url, 'ok' as status, html from pages",
+    "op10_warc": warc.pages_sql(),
 }
