@@ -6,10 +6,13 @@ normal equations; the parts are added in a tree and solved for ridge weights. On
 held out by a hash of the id, isotonic regression (pool adjacent violators over the histogram of scores) turns scores
 into probabilities. All labelled documents are used, and all documents are scored.
 
+A standardised statistic counts as no more than 8 deviations, so that an outlier keeps its side and doesn't turn the cosines at random. Scores
+are calibrated in 4,000 bins from -1 to 2 (labels are 0 and 1); those beyond have the probability of the outermost bin.
+
 Null texts count as empty. Labelled rows with a null id or label are left out, labels of documents that don't
 exist too; a document labelled several times counts each time; rows of one id are scored each by their own text.
 Without labels of both classes nothing can be learned: score and probability are null and every row is kept. Ties in
-score get one probability. Only id, text and label are looked at.
+score get one probability. Only id, text and label are looked at; ids are of any type.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.columns import col
 from loomwork.llm.rules import _SALT, _per_text, repeated
 from loomwork.llm.textkernels import chunks, encode, gram_hashes, spans, span_hashes
 from loomwork.workspace import Workspace
@@ -192,8 +196,8 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     def stats(texts: pd.Series) -> pd.Series:
         return pd.Series(list(statistics(encode(texts))))
 
-    table = ws.save(docs.select(F.col(doc_id).alias("doc_id"), stats(F.col(text)).alias("x")))
-    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("y")).filter("doc_id is not null and y is not null")
+    table = ws.save(docs.select(col(doc_id).alias("doc_id"), stats(col(text)).alias("x")))
+    known = labels.select(col(doc_id).alias("doc_id"), col(label).cast("double").alias("y")).filter("doc_id is not null and y is not null")
     labelled = ws.save(table.join(known, "doc_id").select("x", "y", F.pmod(F.xxhash64("doc_id"), F.lit(5)).alias("fold")))
     model = fit(labelled, ws, **fitting)
     if model is None:

@@ -6,9 +6,12 @@ Each language has several centroids, from spherical k-means over a bounded label
 language of the nearest centroid by cosine and is rejected where its distance is more than ``slack`` times that within which 99 % of the
 sample's texts of like length lie, measured against centroids that have not seen them (short texts lie farther from any centroid).
 
+The bounded sample for fitting is about ``per_language`` texts of each of the ``max_languages`` most frequent labels, drawn by a hash of the text over
+the whole table, each distinct text once. The table needs a column of labels, unless a model is given.
+
 Null texts and texts without letters are rejected. Rows with a null label are not trained on; labels of fewer than
 ``min_docs`` texts are not learned. Ties go to the first language in alphabetical order. Repeated rows are judged
-alike. Columns other than the text are passed through, whatever their names.
+alike. Columns other than the text are passed through, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomwork.columns import col
 from loomwork.llm.textkernels import chunks, encode
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
@@ -153,13 +157,16 @@ def train(langs: list[str], texts: list[str], dims: int, clusters: int, min_docs
     return Model(dims, names, np.array(owner, dtype=int), np.concatenate(centroids) if centroids else np.zeros((0, dims), np.float32), idf, floor)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1000, dims: int = 2048, clusters: int = 4, min_docs: int = 5, slack: float = 1.4, seed: int = 7) -> Model:
-    """Learn centroids from about ``per_language`` labelled texts of each language (all, where there are fewer),
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1000, dims: int = 2048, clusters: int = 4, min_docs: int = 5, slack: float = 1.4, seed: int = 7, max_languages: int = 1000) -> Model:
+    """Learn centroids from about ``per_language`` distinct labelled texts of each language (all, where there are fewer),
     chosen by a hash of the text over the whole table. One task trains; only the model reaches the driver."""
-    known = docs.select(F.col(lang).alias("l"), F.col(text).alias("t")).filter("l is not null and t is not null")
-    sizes = {r.l: r.n for r in known.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    known = docs.select(col(lang).alias("l"), col(text).alias("t")).filter("l is not null and t is not null")
+    counts = known.groupBy("l").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).orderBy(F.desc("n"), "l").limit(max_languages)
+    sizes = {r.l: r.n for r in counts.collect()}
     share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, per_language / n))])[F.col("l")] if sizes else F.lit(0.0)
-    sample = known.filter(F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 24)) < share * (1 << 24))
+    # copies of a drawn text are drawn with it: they combine before they move
+    drawn = known.withColumn("h", F.xxhash64("t", F.lit(seed))).filter(F.pmod("h", F.lit(1 << 24)) < share * (1 << 24))
+    sample = drawn.groupBy("l", "h").agg(F.first("t").alias("t"))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"m": [pickle.dumps(train(list(rows.l), list(rows.t), dims, clusters, min_docs, slack, seed))]})
@@ -176,13 +183,13 @@ def judged(docs: DataFrame, model: Model, text: str = "text", out: str = "__lw_l
     def judge(texts: pd.Series) -> pd.DataFrame:
         return held.value.judge(texts)
 
-    return docs.withColumn(out, judge(F.col(text)))
+    return docs.withColumn(out, judge(col(text)))
 
 
 def identify(docs: DataFrame, model: Model | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", **fitting) -> DataFrame:
     """Columns doc_id, lang, cosine, rejected, one row for each row of ``docs``."""
     model = model or fit(docs, text, lang, **fitting)
-    got = judged(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model)
+    got = judged(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")), model)
     return got.select("doc_id", F.col("__lw_lang.lang").alias("lang"), F.round("__lw_lang.cosine", 6).alias("cosine"), F.col("__lw_lang.rejected").alias("rejected"))
 
 
