@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 #: Arrow batches end at this many bytes, whatever the length of a text (a batch has one row at least).
-_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
