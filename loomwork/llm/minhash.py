@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.columns import col, cols, kind
@@ -157,12 +157,13 @@ class NearDuplicates:
         """Inverted lists (v, node) of the first values of each sketch, rarest first, without values of one node."""
         e = nodes.select("node", F.explode("sketch").alias("v"))
         shared = e.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
-        ranked = e.join(shared, "v").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
         s = F.size("sketch")
         t = F.when(F.col("n") <= F.lit(self.short), F.lit(self.threshold)).otherwise(F.lit(self.t_est))
+        # values of one node come before the shared ones: they are s less the node's rows
         sizes = nodes.select("node", (s - F.ceil(t * s - 1e-9) + 1).cast("int").alias("most"), s.alias("s"))
-        first = F.col("most") - (F.col("s") - F.size("vs"))
-        return ranked.join(sizes, "node").filter(first > 0).select("node", F.explode(F.slice("vs", F.lit(1), first)).alias("x")).select(F.col("x.v").alias("v"), "node")
+        own = Window.partitionBy("node")
+        ranked = e.join(shared, "v").select("node", "v", F.row_number().over(own.orderBy("df", "v")).alias("r"), F.count("*").over(own).alias("held"))
+        return ranked.join(sizes, "node").filter(F.col("r") <= F.col("most") - (F.col("s") - F.col("held"))).select("v", "node")
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
         """node, set: of the ends of these pairs."""

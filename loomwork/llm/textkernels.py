@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _P = 0xD6E8FEB86659FD93  # odd, hence invertible modulo 2**64
 _P_INV = pow(_P, -1, 1 << 64)
