@@ -149,6 +149,33 @@ def test_summarise(spark):
     assert [(r.target, r.i, r.score, r.title, r.never, r.also, r.s, r.date) for r in got] == [("t", 1, 4.5, "x", None, "y", "4 (+ 1 more)", "2024-02-01 (...")]
 
 
+def test_summarise_moves_rows_once(spark):
+    """Rows aren't repeated a column; chunks, hot keys and keys of other types give the same, with ties by value and values without a place last."""
+    rnd = random.Random(3)
+    data = [(rnd.choice([1, 1, 1, *range(2, 40)]), rnd.choice([None, *range(60)]), rnd.choice([None, *"abcdefg", "é", "z"]), rnd.choice([*range(12), None])) for _ in range(3000)] + [(77, 1, None, None)]
+    df = spark.createDataFrame(data, "k int, p int, a string, b int")
+    want = {}
+    for k in {x[0] for x in data}:
+        own = [x for x in data if x[0] == k]
+        of = lambda i: [(x[1], str(x[i])) for x in own if x[i] is not None]  # noqa: B023, E731
+        mode = lambda i: min(sorted({v for _, v in of(i)}), key=lambda v: -[w for _, w in of(i)].count(v), default=None)  # noqa: B023, E731
+        place = lambda i: sorted({v for _, v in of(i)}, key=lambda v: (min((p for p, w in of(i) if w == v and p is not None), default=math.inf), v))  # noqa: B023, E731
+        show = lambda x, n: " | ".join(x[:n]) + (f" (+ {len(x) - n} more)" if len(x) > n else "")
+        want[k] = (mode(2), mode(3), show(place(2), 4), show(place(3), 4), show(place(3), 99))
+    kinds = {"m": F.col("a"), "n": F.col("b"), "s": F.col("a"), "t": F.col("b"), "u": F.col("b")}
+    args = dict(modes=["m", "n"], sets={"s": (4, None), "t": (4, None), "u": (None, None)}, mins=["p"], values=kinds)
+    old = s.CHUNK
+    try:
+        for chunk, hot, key in ((50_000, 10**6, "int"), (7, 10**6, "string"), (50_000, 200, "int"), (50_000, 10**6, "double")):
+            s.CHUNK = chunk
+            got = s.summarise(df.withColumn("k", F.col("k").cast(key)), "k", "p", hot=hot, **args)
+            assert {int(float(r.k)): (r.m, r.n, r.s, r.t, r.u) for r in got.collect()} == want
+    finally:
+        s.CHUNK = old
+    plan = s.summarise(df, "k", "p", **args)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan and "Window" not in plan and plan.count("RepartitionByExpression") == 1
+
+
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, "a", "2024"), (2, "a", "2025"), (3, "a", "2025"), (4, None, "2020"), (5, None, None), (6, "n", None)], "i int, k string, d string")
     assert sorted(r.i for r in s.latest_per_key(df, "k", "d", "i").collect()) == [2, 4, 6]
