@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions import codes, predicates as p, segment, text as t
 from loomwork.operators import dedup, graph, model_map, relational as rel, semantic, summary as s
+from loomwork.workspace import Workspace
 from loomwork.sources import excel, files, remote
 
 
@@ -419,6 +420,42 @@ def test_tile_texts(spark):
     assert [(r.i, r.segment, r.num_segments, r.segment_id) for r in got] == [(1, "short text", 1, 0), (2, None, 0, 1), (3, "x", 1, 2)] and got[0].depth == 0
 
 
+def _article(seed: int, topics: int) -> str:
+    rnd = random.Random(seed)
+    return "\n\n".join(" ".join(f"w{topic * 40 + rnd.randrange(40)}" for _ in range(rnd.randrange(30, 60))) + "." for topic in range(topics) for _ in range(6))
+
+
+def test_tiles_are_written_without_their_text(spark, monkeypatch):
+    """A document is written once and numbered by one row; repeated and null ids are numbered too, and short texts not cut."""
+    saved, save = [], Workspace.save
+    monkeypatch.setattr(Workspace, "save", lambda ws, df: (saved.append((ws.path, df.columns, out := save(ws, df))), out)[1])
+    long = [_article(i, 5) for i in range(3)]
+    df = spark.createDataFrame([(3, "c", long[0]), (None, "n", long[1]), (1, "a", "short"), (2, "b", None), (0, "", long[2])], "i long, x string, v string")
+    got = segment.tile_texts(df, "v", "i").orderBy("segment_id").collect()
+    tiles, numbers = saved[0], saved[1]
+    assert "v" not in tiles[1] and tiles[2].count() == 5 and numbers[2].count() == 5
+    assert [r.segment_id for r in got] == list(range(len(got))) and len(got) > 9
+    assert [(r.i, r.segment_index) for r in got] == sorted(((r.i, r.segment_index) for r in got), key=lambda x: (-1 if x[0] is None else x[0], x[1] or 0))
+    for i, x, v in df.collect():
+        own = [r for r in got if r.i == i]
+        assert {(r.x, r.v, r.num_segments) for r in own} == {(x, v, len(own) if v else 0)} and "".join(r.segment or "" for r in own) == (v or "")
+    twice = segment.tile_texts(df.unionByName(df), "v", "i").orderBy("segment_id").collect()
+    assert [(r.segment_id, r.i, r.segment) for r in twice] == [(i, r.i, r.segment) for i, r in enumerate(x for x in got for _ in range(2))]
+    few = segment.tile_texts(df, "v", "i", min_words=2000).collect()
+    assert len(few) == 5 and sum(r.num_segments for r in few) == 4
+    for x in ("a-b c", "<p>it's</p> d", "it's 'quoted'", "", "<a"):
+        n = spark.createDataFrame([(x,)], "v string").select(t.word_count("v")).first()[0]
+        assert segment._has_words(x, n) and not segment._has_words(x, n + 1)
+
+
+def test_both_ways_to_compare_sequences():
+    rnd = np.random.default_rng(5)
+    for n, terms in ((1, 3), (9, 2), (40, 30), (300, 500)):
+        place = np.sort(rnd.integers(0, n, n * 20))
+        term = rnd.integers(0, terms, n * 20)
+        assert (segment.TextTiler._near(term, place, n, 12) == segment.TextTiler._sparse(term, place, n, 12)).all()
+
+
 def test_rechunk():
     text = "One two three. Four five six. Seven eight. " + "Word " * 10 + "end."
     got = segment.rechunk(text, 6)
