@@ -448,6 +448,21 @@ def test_tiles_are_written_without_their_text(spark, monkeypatch):
         assert segment._has_words(x, n) and not segment._has_words(x, n + 1)
 
 
+def test_grid_reads_a_text_once(spark):
+    """Only numbers leave the kernel; they are those of the tiles of each parameter set."""
+    texts = [_article(i, 4) for i in range(4)] + ["short <b>one</b>", "", None]
+    df = spark.createDataFrame([(i // 2, x) for i, x in enumerate(texts)], "i long, v string")
+    grid = [{"w": 10, "k": 4}, {"w": 8, "k": 3, "policy": "LC"}]
+    got = segment.tile_grid(df, "v", "i", grid)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "regexp_extract_all" not in plan
+    found = {r.params: r for r in got.collect()}
+    for name, p_ in (("k=4, w=10", (10, 4, 4, 2, "HC")), ("k=3, policy=LC, w=8", (8, 3, 4, 2, "LC"))):
+        tiles = spark.createDataFrame([(x["tile"],) for v in texts for x in segment.tiles_of(v, p_) or []], "v string")
+        n = [r[0] for r in tiles.select(t.word_count("v")).collect()]
+        assert len(n) > 8 and (found[name].n_docs, found[name].tiles_doc_mean, found[name].words_mean, found[name].words_max) == (3, len(n) / 3, pytest.approx(sum(n) / len(n)), max(n))
+
+
 def test_both_ways_to_compare_sequences():
     rnd = np.random.default_rng(5)
     for n, terms in ((1, 3), (9, 2), (40, 30), (300, 500)):
