@@ -2,9 +2,11 @@
 
 import asyncio
 import datetime as dt
+import hashlib
 import json
 import math
 import random
+import re
 import sys
 import zipfile
 
@@ -463,6 +465,34 @@ def test_grid_reads_a_text_once(spark):
         assert len(n) > 8 and (found[name].n_docs, found[name].tiles_doc_mean, found[name].words_mean, found[name].words_max) == (3, len(n) / 3, pytest.approx(sum(n) / len(n)), max(n))
 
 
+def test_embedding_is_pooled_where_the_text_is(spark):
+    """Ids that are not repeated don't move; those that are, null too, are pooled over all their windows."""
+    rnd = random.Random(2)
+    texts = [" ".join(f"v{rnd.randrange(900)}" for _ in range(n)) for n in (0, 1, 350, 351, 650, 651, 1800, 40, 700)] + ["  ", None, "a\x1cb\u2003c\x85d"]
+    df = spark.createDataFrame(list(zip([0, 1, 2, 3, 4, 5, 6, None, None, 7, 8, 9], texts)), "i long, v string")
+
+    def brute(own):
+        v, windows = np.zeros(64), 0
+        for x in own:
+            tok = [y for y in re.split(r"[ \x85\u2003]+", x or "") if y]
+            for k in range(0 if not tok else 1 if len(tok) <= 350 else -(-(len(tok) - 350) // 300) + 1):
+                windows += 1
+                for y in tok[k * 300 : k * 300 + 350]:
+                    h = int(hashlib.md5(y.encode()).hexdigest()[:8], 16)
+                    v[h % 64] += 1 if h >> 31 else -1
+        return v / windows / np.linalg.norm(v / windows) if windows else None
+
+    for part in (df, df.filter("i is not null")):
+        got = semantic.embed(part, "i", "v", semantic.hashed_encoder(64))
+        found = {r.i: r.embedding for r in got.collect()}
+        own: dict = {}
+        for i, x in part.collect():
+            own.setdefault(i, []).append(x)
+        want = {i: v for i, x in own.items() if (v := brute(x)) is not None}
+        assert found.keys() == want.keys() and all(np.allclose(found[i], want[i], atol=1e-12) for i in want)
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_both_ways_to_compare_sequences():
     rnd = np.random.default_rng(5)
     for n, terms in ((1, 3), (9, 2), (40, 30), (300, 500)):
